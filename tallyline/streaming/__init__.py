@@ -1,0 +1 @@
+"""Empty on purpose: none of the supported workloads is a stream."""

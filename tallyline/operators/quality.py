@@ -69,23 +69,25 @@ def payment_off_statement(pay: DataFrame, bill: DataFrame) -> DataFrame:
 
     Follows NOT IN: a payment of a loan without bills is listed; otherwise an
     unknown payment date, or an unknown date among the loan's bills, makes the
-    answer unknown and the payment is not listed. Written as two anti joins on
-    equality, so no payment is compared with all bills of its loan.
+    answer unknown and the payment is not listed. The question is settled once
+    per loan and day, and the payments then follow by equality on both.
     """
     bill_days = bill.select("LoanID", "PaymentDate").distinct()
-    # A payment without a date is answered by the mere presence of a bill.
-    present = bill_days.select("LoanID").distinct().withColumn("Day", F.lit(None).cast("date"))
-    answered = (
-        bill_days.filter(F.col("PaymentDate").isNotNull())
-        .select("LoanID", F.col("PaymentDate").alias("Day"))
-        .unionByName(present)
-    )
+    # Any bill of the loan answers for a payment without a date.
+    billed = bill_days.select("LoanID").distinct().withColumn("PaymentDate", F.lit(None))
     unknown = bill_days.filter(F.col("PaymentDate").isNull()).select("LoanID")
-    rows = pay.select("LoanID", "MonthNumber", "PaymentDate")
-    same_day = (rows["LoanID"] == answered["LoanID"]) & rows["PaymentDate"].eqNullSafe(
-        answered["Day"]
+    days = pay.select("LoanID", "PaymentDate").distinct()
+    listed = _matched(days, bill_days.unionByName(billed), "left_anti").join(
+        unknown, "LoanID", "left_anti"
     )
-    return rows.join(answered, same_day, "left_anti").join(unknown, "LoanID", "left_anti")
+    return _matched(pay.select("LoanID", "MonthNumber", "PaymentDate"), listed, "left_semi")
+
+
+def _matched(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join on loan and day, where an unknown day equals itself."""
+    days = days.select(F.col("LoanID").alias("_loan"), F.col("PaymentDate").alias("_day"))
+    same = (F.col("LoanID") == F.col("_loan")) & F.col("PaymentDate").eqNullSafe(F.col("_day"))
+    return rows.join(days, same, how)
 
 
 def length_mismatch(pay: DataFrame, bill: DataFrame) -> DataFrame:

@@ -37,6 +37,16 @@ def due_statements(bill: DataFrame, as_of: datetime | date | None) -> DataFrame:
     return bill.filter(F.col("PaymentDate") <= F.lit(c.day_of(as_of)))
 
 
+def bill_days(statements: DataFrame) -> DataFrame:
+    """The distinct (LoanID, PaymentDate) of statements.
+
+    What holds for a loan, or for a day of it, is joined to these and reaches
+    the statements by loan and day together, so the statements of a large loan
+    do not meet in one task.
+    """
+    return statements.select("LoanID", "PaymentDate").distinct()
+
+
 def totals_by_bill_day(pay: DataFrame, statements: DataFrame) -> DataFrame:
     """(LoanID, PaymentDate) of every statement with its state on that day.
 
@@ -53,11 +63,7 @@ def totals_by_bill_day(pay: DataFrame, statements: DataFrame) -> DataFrame:
         )
         .withColumn("_statement", F.lit(False))
     )
-    billed = (
-        statements.select("LoanID", "PaymentDate")
-        .distinct()
-        .withColumn("_statement", F.lit(True))
-    )
+    billed = bill_days(statements).withColumn("_statement", F.lit(True))
     to_date = (
         Window.partitionBy("LoanID")
         .orderBy("PaymentDate")
@@ -115,11 +121,10 @@ def statement_spine(
     """
     statements = due_statements(bill, as_of).select("LoanID", "PaymentNumber", "PaymentDate")
     if per_loan:
-        months, on = last_months(pay, as_of), ["LoanID"]
+        days = bill_days(statements).join(last_months(pay, as_of), "LoanID", "left")
     else:
-        months = totals_by_bill_day(pay, statements).select("LoanID", "PaymentDate", "MonthNumber")
-        on = ["LoanID", "PaymentDate"]
-    return statements.join(months, on, "left").select(
+        days = totals_by_bill_day(pay, statements).select("LoanID", "PaymentDate", "MonthNumber")
+    return statements.join(days, ["LoanID", "PaymentDate"]).select(
         "LoanID", "MonthNumber", "PaymentNumber", "PaymentDate"
     )
 
@@ -157,7 +162,7 @@ def received_to_date(pay: DataFrame, bill: DataFrame, as_of: datetime | date | N
     statements = due_statements(bill, as_of).select("LoanID", "PaymentNumber", "PaymentDate")
     totals = totals_by_bill_day(pay, statements).select("LoanID", "PaymentDate", *RECEIVED)
     return _typed(
-        statements.join(totals, ["LoanID", "PaymentDate"], "left"),
+        statements.join(totals, ["LoanID", "PaymentDate"]),
         ("LoanID", "PaymentNumber", "PaymentDate"),
         RECEIVED,
     )
@@ -186,16 +191,18 @@ MEASURES = (*DUE, *RECEIVED, *BILLED, PAST_DUE_COUNT)
 
 
 def statement_measures(
-    pay: DataFrame, bill: DataFrame, as_of: datetime | date | None
+    pay: DataFrame, bill: DataFrame, position: DataFrame, as_of: datetime | date | None
 ) -> DataFrame:
-    """Due statements with all measures, each as of the statement itself."""
-    days = totals_by_bill_day(pay, due_statements(bill, as_of)).join(
-        totals_by_month(pay), ["LoanID", "MonthNumber"], "left"
+    """Due statements with all measures as of the statement and the loan's position."""
+    days = (
+        totals_by_bill_day(pay, due_statements(bill, as_of))
+        .join(totals_by_month(pay), ["LoanID", "MonthNumber"], "left")
+        .join(position, "LoanID")
     )
-    statements = due_statements(billed_before(bill), as_of).join(
-        days, ["LoanID", "PaymentDate"], "left"
+    statements = due_statements(billed_before(bill), as_of).join(days, ["LoanID", "PaymentDate"])
+    return _typed(
+        statements, ("LoanID", "PaymentNumber", "PaymentDate", *position.columns[1:]), MEASURES
     )
-    return _typed(statements, ("LoanID", "PaymentNumber", "PaymentDate"), MEASURES)
 
 
 def loan_measures(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None) -> DataFrame:
@@ -205,38 +212,41 @@ def loan_measures(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None
     often as the loan has statements. Received and billed amounts are the
     statement measures added up.
     """
-    statements = due_statements(billed_before(bill), as_of)
-    counted = statements.groupBy("LoanID").agg(
-        F.count(F.lit(1)).alias("_statements"), *[F.sum(name).alias(name) for name in BILLED]
+    billed = (
+        due_statements(billed_before(bill), as_of)
+        .groupBy("LoanID")
+        .agg(*[F.sum(name).alias(name) for name in BILLED])
     )
-
-    per_day = due_statements(bill, as_of).groupBy("LoanID", "PaymentDate").agg(
-        F.count(F.lit(1)).alias("_statements")
+    per_day = (
+        due_statements(bill, as_of)
+        .groupBy("LoanID", "PaymentDate")
+        .agg(F.count(F.lit(1)).alias("_statements"))
     )
     received = (
         totals_by_bill_day(pay, per_day)
         .join(per_day, ["LoanID", "PaymentDate"])
         .groupBy("LoanID")
-        .agg(*[F.sum(F.col(name) * F.col("_statements")).alias(name) for name in RECEIVED])
-    )
-
-    measures = (*DUE, PAST_DUE_COUNT)
-    last = last_months(pay, as_of).withColumnRenamed("MonthNumber", "_last")
-    due = (
-        _months(pay)
-        .join(last, "LoanID")
-        .filter(F.col("MonthNumber") <= F.col("_last"))
-        .groupBy("LoanID")
-        .agg(*[F.sum(name).alias(name) for name in measures])
+        .agg(
+            F.sum("_statements").alias("_statements"),
+            *[F.sum(F.col(name) * F.col("_statements")).alias(name) for name in RECEIVED],
+        )
     )
-    loans = counted.join(received, "LoanID", "left").join(due, "LoanID", "left")
+    due = last_months(pay, as_of).join(totals_by_month(pay), ["LoanID", "MonthNumber"])
+    loans = received.join(billed, "LoanID").join(due, "LoanID", "left")
+    repeated = [
+        (F.col(name) * F.col("_statements")).alias(name) for name in (*DUE, PAST_DUE_COUNT)
+    ]
     return _typed(
-        loans.select(
-            "LoanID",
-            *RECEIVED,
-            *BILLED,
-            *[(F.col(name) * F.col("_statements")).alias(name) for name in measures],
-        ),
-        ("LoanID",),
-        MEASURES,
+        loans.select("LoanID", *RECEIVED, *BILLED, *repeated), ("LoanID",), MEASURES
+    )
+
+
+def statement_loan_measures(
+    pay: DataFrame, bill: DataFrame, position: DataFrame, as_of: datetime | date | None
+) -> DataFrame:
+    """Due statements with the measures and position of their loan."""
+    statements = due_statements(bill, as_of).select("LoanID", "PaymentNumber", "PaymentDate")
+    days = (
+        bill_days(statements).join(loan_measures(pay, bill, as_of), "LoanID").join(position, "LoanID")
     )
+    return statements.join(days, ["LoanID", "PaymentDate"])

@@ -48,12 +48,8 @@ def ledger_snapshot(
     day = c.day_of(as_of)
     posted_day = nth_previous_business_day(pay.sparkSession, day, POSTING_DAYS, holidays)
     position = loan_position(loan, loan2, cb, pastdue, day, posted_day)
-    if per_loan:
-        loans = position.join(s.loan_measures(pay, bill, day), "LoanID")
-        statements = s.due_statements(bill, day).select("LoanID", "PaymentNumber", "PaymentDate")
-        rows = statements.join(loans, "LoanID")
-    else:
-        rows = s.statement_measures(pay, bill, day).join(position, "LoanID")
+    measures = s.statement_loan_measures if per_loan else s.statement_measures
+    rows = measures(pay, bill, position, day)
     return rows.withColumnsRenamed(
         {"PaymentNumber": "StatementNumber", "PaymentDate": "StatementDueDate"}
     ).select(*_COLUMNS)

@@ -18,6 +18,13 @@ def next_bill_date(bill: DataFrame) -> DataFrame:
     """Add ``PaymentDateNext``: the date of the loan's next bill by number.
 
     The last bill, and a bill whose successor has no date, get the open end.
+    """
+    return _followed(bill).drop("_block")
+
+
+def _followed(bill: DataFrame) -> DataFrame:
+    """Bills with ``PaymentDateNext`` and the block they were ordered in.
+
     Only bills numbered from SPAN on can open a later block, so the carried side
     is a scan filtered on the number, empty for ordinary loans.
     """
@@ -41,38 +48,74 @@ def next_bill_date(bill: DataFrame) -> DataFrame:
         F.col("_opener")
     )
     return local.join(carried, ["LoanID", "_block"], "left").select(
-        *bill.columns, F.coalesce(following, F.lit(OPEN_END)).alias("PaymentDateNext")
+        *bill.columns, "_block", F.coalesce(following, F.lit(OPEN_END)).alias("PaymentDateNext")
     )
 
 
-def statement_periods(bill: DataFrame) -> DataFrame:
-    """The half-open periods (LoanID, MonthReal, PeriodStart, PeriodEnd).
+def _statement_periods(bill: DataFrame) -> DataFrame:
+    """The half-open statement periods, with the run each belongs to.
 
-    Empty periods hold no date and are left out. Where bill dates do not fall
-    with the number, what remains per loan is at most one period per day.
+    Empty periods hold no date and are left out. A run is a chain of periods in
+    which each starts where the one before ends, so a date lies in at most one
+    period of a run. A loan whose bill dates rise with the number is one run per
+    block and brings at most one period per day.
     """
-    return (
-        next_bill_date(bill.select("LoanID", "PaymentNumber", "PaymentDate"))
-        .filter(F.col("PaymentDate") < F.col("PaymentDateNext"))
-        .select(
-            "LoanID",
-            F.col("PaymentNumber").alias("MonthReal"),
-            F.col("PaymentDate").alias("PeriodStart"),
-            F.col("PaymentDateNext").alias("PeriodEnd"),
-        )
+    periods = _followed(bill.select("LoanID", "PaymentNumber", "PaymentDate")).filter(
+        F.col("PaymentDate") < F.col("PaymentDateNext")
+    )
+    within = Window.partitionBy("LoanID", "_block").orderBy("PaymentNumber")
+    broken = F.lag("PaymentDateNext").over(within) != F.col("PaymentDate")
+    return periods.withColumn("_broken", F.when(broken, 1).otherwise(0)).select(
+        "LoanID",
+        "_block",
+        F.sum("_broken").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("_run"),
+        F.col("PaymentNumber").alias("MonthReal"),
+        F.col("PaymentDate").alias("PeriodStart"),
+        F.col("PaymentDateNext").alias("PeriodEnd"),
     )
 
 
 def _place(dated: DataFrame, bill: DataFrame) -> DataFrame:
-    """Join rows to the period(s) their ``PaymentDate`` falls in.
+    """Add ``MonthReal``, the number of the period(s) holding ``PaymentDate``.
 
     Callers pass rows already collapsed to the calendar (one row per loan, day
     and at most status), so no loan brings more rows than there are days.
+
+    Rows first meet the date ranges of the loan's runs, as a rule one, and then
+    take the last period started in the run. That costs a sort by date, where a
+    join with the periods would compare each row with every period of the loan.
+    The union keeps the partitioning by loan, so all of it, and what callers do
+    by loan afterwards, shares one shuffle per input.
     """
-    inside = (F.col("PaymentDate") >= F.col("PeriodStart")) & (
-        F.col("PaymentDate") < F.col("PeriodEnd")
+    periods = _statement_periods(bill)
+    runs = periods.groupBy("LoanID", "_block", "_run").agg(
+        F.min("PeriodStart").alias("_from"), F.max("PeriodEnd").alias("_until")
+    )
+    in_run = (F.col("PaymentDate") >= F.col("_from")) & (F.col("PaymentDate") < F.col("_until"))
+    rows = dated.join(runs, "LoanID").filter(in_run).drop("_from", "_until")
+    starts = periods.repartition("LoanID").select(
+        "LoanID",
+        "_block",
+        "_run",
+        F.col("PeriodStart").alias("PaymentDate"),
+        F.col("MonthReal").alias("_started"),
+    )
+    so_far = (
+        Window.partitionBy("LoanID", "_block", "_run")
+        .orderBy("PaymentDate", "_placed")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        starts.withColumn("_placed", F.lit(False))
+        .unionByName(rows.withColumn("_placed", F.lit(True)), allowMissingColumns=True)
+        .select(
+            *dated.columns,
+            "_placed",
+            F.last("_started", ignorenulls=True).over(so_far).alias("MonthReal"),
+        )
+        .filter("_placed")
+        .drop("_placed")
     )
-    return dated.join(statement_periods(bill), "LoanID").filter(inside)
 
 
 def placed_dates(pay: DataFrame, bill: DataFrame) -> DataFrame:

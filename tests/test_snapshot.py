@@ -1,0 +1,150 @@
+"""The point-in-time ledger against its definition by range joins."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from conftest import as_set
+
+from tallyline.operators import align, scans, snapshot
+from tallyline.plans.snapshot import ledger_snapshot
+
+AS_OF = date(2020, 9, 1)
+
+
+def random_inputs(seed):
+    rng = random.Random(seed)
+    start = date(2020, 1, 1)
+    bill, pay = [], []
+    for loan in ("A", "B", "C", "unpaid"):
+        for number in sorted(rng.sample(range(1, 40), 15)):
+            bill.append(
+                {
+                    "LoanID": loan,
+                    "PaymentNumber": number,
+                    "PaymentDate": start + timedelta(days=rng.randrange(0, 300)),
+                    "PrincipalPayment": rng.choice([None, f"{rng.randrange(999) / 100:.2f}"]),
+                    "InterestPayment": f"{rng.randrange(999) / 100:.2f}",
+                }
+            )
+        for _ in range(0 if loan == "unpaid" else 50):
+            pay.append(
+                {
+                    "LoanID": loan,
+                    "MonthNumber": rng.choice([None, *range(1, 30)]),
+                    "PaymentDate": rng.choice([None, *[start + timedelta(days=7 * n) for n in range(45)]]),
+                    "Status": rng.choice(["posted", "scheduled", "past_due", None]),
+                    "AmountPrincipal": rng.choice([None, f"{rng.randrange(999) / 100:.2f}"]),
+                    "AmountInterest": f"{rng.randrange(999) / 100:.2f}",
+                }
+            )
+    return pay, bill
+
+
+SPINE = """
+    select b.LoanID, b.PaymentNumber, b.PaymentDate, max(p.MonthNumber) as MonthNumber
+    from bill b left join pay p on p.LoanID = b.LoanID and p.PaymentDate <= {until}
+    where b.PaymentDate <= date '2020-09-01'
+    group by b.LoanID, b.PaymentNumber, b.PaymentDate"""
+
+MEASURES = {
+    "due": (
+        "sum(p.AmountPrincipal) as PrincipalDue, sum(p.AmountInterest) as InterestDue",
+        "join pay p on p.LoanID = s.LoanID and p.MonthNumber <= s.MonthNumber"
+        " where p.Status <> 'posted'",
+    ),
+    "received": (
+        "sum(p.AmountPrincipal) as PrincipalReceivedToDate,"
+        " sum(p.AmountInterest) as InterestReceivedToDate",
+        "join pay p on p.LoanID = s.LoanID and p.PaymentDate <= s.PaymentDate"
+        " where p.Status = 'posted'",
+    ),
+    "billed": (
+        "sum(p.PrincipalPayment) as ScheduledPrincipalReceivedToDate,"
+        " sum(p.InterestPayment) as ScheduledInterestReceivedToDate",
+        "join bill p on p.LoanID = s.LoanID and p.PaymentNumber < s.PaymentNumber",
+    ),
+    "late": (
+        "count(1) as NumberOfStatementsPastDue",
+        "join pay p on p.LoanID = s.LoanID and p.MonthNumber <= s.MonthNumber"
+        " where p.Status = 'past_due'",
+    ),
+}
+
+
+def expected(spark, pay, bill, per_loan):
+    """Every measure as a join on a range, grouped by statement or by loan."""
+    pay.createOrReplaceTempView("pay")
+    bill.createOrReplaceTempView("bill")
+    until = "date '2020-09-01'" if per_loan else "b.PaymentDate"
+    keys = ["LoanID"] if per_loan else ["LoanID", "PaymentNumber"]
+    grouped = ", ".join(f"s.{key}" for key in keys)
+    spine = spark.sql(SPINE.format(until=until))
+    spine.createOrReplaceTempView("spine")
+    for measures, join in MEASURES.values():
+        spine = spine.join(
+            spark.sql(f"select {grouped}, {measures} from spine s {join} group by {grouped}"),
+            keys,
+            "left",
+        )
+    return spine
+
+
+@pytest.mark.parametrize("span", [5, 4096])
+@pytest.mark.parametrize("per_loan", [False, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_snapshot_equals_range_joins(spark, table, monkeypatch, span, per_loan, seed):
+    monkeypatch.setattr(scans, "SPAN", span)
+    monkeypatch.setattr(align, "SPAN", span)
+    pay_rows, bill_rows = random_inputs(seed)
+    pay, bill = table("pay", pay_rows), table("bill", bill_rows)
+    loans = ("A", "B", "C", "unpaid")
+    result = ledger_snapshot(
+        pay,
+        bill,
+        table("loan", [{"LoanID": i, "LoanOfficer": f"officer {i}"} for i in loans]),
+        table("loan2", []),
+        table("cb", []),
+        table("pastdue", [{"LoanID": "B", "PastDueDate": "2020-07-20"}]),
+        table("holiday", []),
+        AS_OF,
+        per_loan=per_loan,
+    )
+    truth = expected(spark, pay, bill, per_loan)
+    columns = snapshot.MEASURES
+    assert as_set(result, "LoanID", "StatementNumber", "StatementDueDate", *columns) == as_set(
+        truth, "LoanID", "PaymentNumber", "PaymentDate", *columns
+    )
+    assert {(r.LoanID, r.PayoffUID, r.Status) for r in result.collect()} == {
+        ("A", "officer A", "Current"),
+        ("B", "officer B", "Delinquent 1 Payment"),
+        ("C", "officer C", "Current"),
+        ("unpaid", "officer unpaid", "Current"),
+    }
+    spine = snapshot.statement_spine(bill, pay, AS_OF, per_loan=per_loan)
+    assert as_set(spine) == as_set(truth, *spine.columns)
+
+
+def test_statements_of_unknown_loans_are_left_out(table):
+    pay_rows, bill_rows = random_inputs(3)
+    result = ledger_snapshot(
+        table("pay", pay_rows),
+        table("bill", bill_rows),
+        table("loan", [{"LoanID": "A"}]),
+        *[table(name, []) for name in ("loan2", "cb", "pastdue", "holiday")],
+        AS_OF,
+    )
+    assert {row.LoanID for row in result.collect()} == {"A"}
+
+
+def test_statement_of_the_day_is_due(table):
+    bill = table(
+        "bill",
+        [
+            {"LoanID": "A", "PaymentNumber": 1, "PaymentDate": AS_OF},
+            {"LoanID": "A", "PaymentNumber": 2, "PaymentDate": AS_OF + timedelta(days=1)},
+        ],
+    )
+    assert as_set(snapshot.statement_spine(bill, table("pay", []), AS_OF)) == [
+        ("A", None, 1, "2020-09-01")
+    ]

@@ -113,10 +113,10 @@ _INPUTS = {
                min(PaymentDate) as PaymentDate, max(EffectiveDate) as EffectiveDate,
                min(AmountPrincipalRemaining) as AmountPrincipalRemaining,
                min(OriginalAmount) as OriginalAmount,
-               cast(sum(coalesce(AmountPrincipal, 0)) as decimal(18,2)) as AmountPrincipal,
-               cast(sum(coalesce(AmountInterest, 0)) as decimal(18,2)) as AmountInterest,
-               cast(sum(coalesce(Amount, 0)) as decimal(18,2)) as Amount,
-               cast(sum(coalesce(PrincipalWaived, 0)) as decimal(18,2)) as PrincipalWaived
+               cast(sum(coalesce(AmountPrincipal, 0)) as decimal(38,2)) as AmountPrincipal,
+               cast(sum(coalesce(AmountInterest, 0)) as decimal(38,2)) as AmountInterest,
+               cast(sum(coalesce(Amount, 0)) as decimal(38,2)) as Amount,
+               cast(sum(coalesce(PrincipalWaived, 0)) as decimal(38,2)) as PrincipalWaived
         from placed group by LoanID, MonthReal, Status""",
     "before": "select * from aligned where PaymentDate < timestamp '2000-01-01 00:00:00'",
     "month_pay": """
@@ -182,12 +182,12 @@ def _by_statement(select: str) -> str:
 
 
 _MEASURE_COLUMNS = """
-    cast(PrincipalDue as decimal(18,2)) as PrincipalDue,
-    cast(InterestDue as decimal(18,2)) as InterestDue,
-    cast(PrincipalReceivedToDate as decimal(18,2)) as PrincipalReceivedToDate,
-    cast(InterestReceivedToDate as decimal(18,2)) as InterestReceivedToDate,
-    cast(ScheduledPrincipalReceivedToDate as decimal(18,2)) as ScheduledPrincipalReceivedToDate,
-    cast(ScheduledInterestReceivedToDate as decimal(18,2)) as ScheduledInterestReceivedToDate,
+    cast(PrincipalDue as decimal(38,2)) as PrincipalDue,
+    cast(InterestDue as decimal(38,2)) as InterestDue,
+    cast(PrincipalReceivedToDate as decimal(38,2)) as PrincipalReceivedToDate,
+    cast(InterestReceivedToDate as decimal(38,2)) as InterestReceivedToDate,
+    cast(ScheduledPrincipalReceivedToDate as decimal(38,2)) as ScheduledPrincipalReceivedToDate,
+    cast(ScheduledInterestReceivedToDate as decimal(38,2)) as ScheduledInterestReceivedToDate,
     cast(NumberOfStatementsPastDue as bigint) as NumberOfStatementsPastDue"""
 
 
@@ -208,7 +208,7 @@ def _running(amount: str, condition: str, name: str) -> str:
         over (partition by LoanID
               order by MonthNumber, PaymentDate nulls first, EffectiveDate nulls first,
                        Status nulls first
-              rows between unbounded preceding and current row) as decimal(18,2)) as {name}"""
+              rows between unbounded preceding and current row) as decimal(38,2)) as {name}"""
 
 
 def _ledger(source: str, shown: str) -> str:
@@ -242,16 +242,16 @@ def _chain(source: str, number: str, kept: str, principal: str, interest: str) -
     columns = f"LoanID, {number}, {kept}, {principal}, {interest}"
     following = ", ".join(f"r.{column}" for column in columns.split(", "))
     return _with(
-        f"""select {columns}, cast(p as decimal(18,2)) as SumPrincipal,
-                   cast(i as decimal(18,2)) as SumInterest
+        f"""select {columns}, cast(p as decimal(38,2)) as SumPrincipal,
+                   cast(i as decimal(38,2)) as SumInterest
             from chain order by LoanID, {number}""",
         f"""chain as (
-            select {columns}, cast({principal} as decimal(18,2)) as p,
-                   cast({interest} as decimal(18,2)) as i
+            select {columns}, cast({principal} as decimal(38,2)) as p,
+                   cast({interest} as decimal(38,2)) as i
             from {source} where {number} = 1
             union all
-            select {following}, cast(c.p + r.{principal} as decimal(18,2)),
-                   cast(c.i + r.{interest} as decimal(18,2))
+            select {following}, cast(c.p + r.{principal} as decimal(38,2)),
+                   cast(c.i + r.{interest} as decimal(38,2))
             from chain c join {source} r
                  on r.LoanID = c.LoanID and r.{number} = c.{number} + 1)""",
         recursive=True,
@@ -294,9 +294,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bill_running_totals": _with(
             """select LoanID, PaymentNumber, PaymentDate, PrincipalPayment,
-                      cast(sum(PrincipalPayment) over w as decimal(18,2)) as SumPrincipal,
+                      cast(sum(PrincipalPayment) over w as decimal(38,2)) as SumPrincipal,
                       InterestPayment,
-                      cast(sum(InterestPayment) over w as decimal(18,2)) as SumInterest
+                      cast(sum(InterestPayment) over w as decimal(38,2)) as SumInterest
                from bill
                window w as (partition by LoanID order by PaymentNumber
                             rows between unbounded preceding and current row)
@@ -320,8 +320,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "principal_due_by_month": _by_statement(
             """select LoanID, PaymentNumber, MonthNumber,
-                      cast(PrincipalDue as decimal(18,2)) as PrincipalDue,
-                      cast(InterestDue as decimal(18,2)) as InterestDue
+                      cast(PrincipalDue as decimal(38,2)) as PrincipalDue,
+                      cast(InterestDue as decimal(38,2)) as InterestDue
                from spine left join due using (LoanID, PaymentNumber)"""
         ),
         "past_due_count": _by_statement(
@@ -331,15 +331,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "received_to_date": _by_statement(
             """select LoanID, PaymentNumber, PaymentDate,
-                      cast(PrincipalReceivedToDate as decimal(18,2)) as PrincipalReceivedToDate,
-                      cast(InterestReceivedToDate as decimal(18,2)) as InterestReceivedToDate
+                      cast(PrincipalReceivedToDate as decimal(38,2)) as PrincipalReceivedToDate,
+                      cast(InterestReceivedToDate as decimal(38,2)) as InterestReceivedToDate
                from spine left join received using (LoanID, PaymentNumber)"""
         ),
         "scheduled_before": _by_statement(
             """select LoanID, PaymentNumber, PaymentDate,
-                      cast(ScheduledPrincipalReceivedToDate as decimal(18,2))
+                      cast(ScheduledPrincipalReceivedToDate as decimal(38,2))
                           as ScheduledPrincipalReceivedToDate,
-                      cast(ScheduledInterestReceivedToDate as decimal(18,2))
+                      cast(ScheduledInterestReceivedToDate as decimal(38,2))
                           as ScheduledInterestReceivedToDate
                from spine left join scheduled using (LoanID, PaymentNumber)"""
         ),
@@ -394,7 +394,7 @@ def oracle_sql() -> dict[str, str]:
                from period where e <= s"""
         ),
         "waived_principal": _with(
-            """select LoanID, cast(sum(coalesce(PrincipalWaived, 0)) as decimal(18,2))
+            """select LoanID, cast(sum(coalesce(PrincipalWaived, 0)) as decimal(38,2))
                       as PrincipalWaived
                from pay group by LoanID"""
         ),

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Sums of money take the widest type: a single loan may hold any share of the rows.
+MONEY = "decimal(38,2)"
 RATE = "decimal(9,4)"
 
 Contract = dict[str, str]

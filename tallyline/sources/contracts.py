@@ -6,7 +6,7 @@ tables can be read without renaming.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Sums of money take the widest type: a single loan may hold any share of the rows.
@@ -73,13 +73,13 @@ _LOWER_CODES = {"Status"}
 _UPPER_CODES = {"AccountStatus", "U_PortMoveCode"}
 
 
-def _conformed(name: str, type_: str) -> Column:
-    column = F.col(name).cast(type_)
+def _conformed(name: str, type_: str) -> str:
+    value = f"cast({name} as {type_})"
     if name in _LOWER_CODES:
-        column = F.lower(F.rtrim(column))
+        value = f"lower(rtrim({value}))"
     elif name in _UPPER_CODES:
-        column = F.upper(F.rtrim(column))
-    return column.alias(name)
+        value = f"upper(rtrim({value}))"
+    return f"{value} as {name}"
 
 
 def conform(df: DataFrame, contract: Contract, partial: bool = False) -> DataFrame:
@@ -89,7 +89,7 @@ def conform(df: DataFrame, contract: Contract, partial: bool = False) -> DataFra
     casts: a value that does not fit is an error, not a NULL.
     """
     present = {c.lower() for c in df.columns}
-    return df.select(
+    return df.selectExpr(
         *[
             _conformed(name, type_)
             for name, type_ in contract.items()

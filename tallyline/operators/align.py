@@ -13,6 +13,10 @@ from tallyline.sources.contracts import MONEY
 # Fixed value: the end of a loan's last statement period.
 OPEN_END = date(9999, 12, 31)
 
+# Bills of a loan in order. Numbers are unique; should one repeat, its bills
+# follow by date, so that the result is still the same on every run.
+_SEQUENCE = ("PaymentNumber", "PaymentDate")
+
 
 def next_bill_date(bill: DataFrame) -> DataFrame:
     """Add ``PaymentDateNext``: the date of the loan's next bill by number.
@@ -29,7 +33,7 @@ def _followed(bill: DataFrame) -> DataFrame:
     is a scan filtered on the number, empty for ordinary loans.
     """
     blocked = bill.withColumn("_block", number_block("PaymentNumber"))
-    within = Window.partitionBy("LoanID", "_block").orderBy("PaymentNumber")
+    within = Window.partitionBy("LoanID", "_block").orderBy(*_SEQUENCE)
     local = blocked.select(
         "*",
         F.lead("PaymentNumber").over(within).alias("_next_number"),
@@ -38,7 +42,7 @@ def _followed(bill: DataFrame) -> DataFrame:
     openers = (
         blocked.filter(F.col("PaymentNumber") >= SPAN)
         .groupBy("LoanID", "_block")
-        .agg(F.min_by("PaymentDate", "PaymentNumber").alias("_opener"))
+        .agg(F.min(F.struct(*_SEQUENCE))["PaymentDate"].alias("_opener"))
     )
     blocks = Window.partitionBy("LoanID").orderBy("_block")
     carried = openers.select(
@@ -63,7 +67,7 @@ def _statement_periods(bill: DataFrame) -> DataFrame:
     periods = _followed(bill.select("LoanID", "PaymentNumber", "PaymentDate")).filter(
         F.col("PaymentDate") < F.col("PaymentDateNext")
     )
-    within = Window.partitionBy("LoanID", "_block").orderBy("PaymentNumber")
+    within = Window.partitionBy("LoanID", "_block").orderBy(*_SEQUENCE)
     broken = F.lag("PaymentDateNext").over(within) != F.col("PaymentDate")
     return periods.withColumn("_broken", F.when(broken, 1).otherwise(0)).select(
         "LoanID",

@@ -129,10 +129,12 @@ def random_inputs(seed):
     rng = random.Random(seed)
     start = date(2020, 1, 1)
     bill, pay = [], []
-    for loan in ("ordered", "disordered", "tied", "missing"):
+    for loan in ("ordered", "disordered", "tied", "missing", "repeated"):
         numbers = sorted(rng.sample(range(1, 60), 30))
+        if loan == "repeated":
+            numbers = sorted(numbers + numbers[::2])
         days = [rng.randrange(0, 400) for _ in numbers]
-        if loan != "disordered":
+        if loan not in ("disordered", "repeated"):
             days.sort()
         if loan == "tied":
             days = [d // 90 * 90 for d in days]
@@ -165,7 +167,8 @@ def expected_placements(pay, bill):
     placed = []
     for loan in {row["LoanID"] for row in bill}:
         ordered = sorted(
-            (row for row in bill if row["LoanID"] == loan), key=lambda row: row["PaymentNumber"]
+            (row for row in bill if row["LoanID"] == loan),
+            key=lambda row: (row["PaymentNumber"], row["PaymentDate"] or date.min),
         )
         ends = [row["PaymentDate"] or date(9999, 12, 31) for row in ordered[1:]]
         for row, end in zip(ordered, [*ends, date(9999, 12, 31)]):

@@ -104,21 +104,21 @@ def _place(dated: DataFrame, bill: DataFrame) -> DataFrame:
         F.col("PeriodStart").alias("PaymentDate"),
         F.col("MonthReal").alias("_started"),
     )
+    # A period started on the day of a payment comes before it.
     so_far = (
         Window.partitionBy("LoanID", "_block", "_run")
-        .orderBy("PaymentDate", "_placed")
+        .orderBy("PaymentDate", F.col("_started").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        starts.withColumn("_placed", F.lit(False))
-        .unionByName(rows.withColumn("_placed", F.lit(True)), allowMissingColumns=True)
+        starts.unionByName(rows, allowMissingColumns=True)
         .select(
             *dated.columns,
-            "_placed",
+            "_started",
             F.last("_started", ignorenulls=True).over(so_far).alias("MonthReal"),
         )
-        .filter("_placed")
-        .drop("_placed")
+        .filter(F.col("_started").isNull())
+        .drop("_started")
     )
 
 

@@ -15,14 +15,14 @@ def _credit(cb: DataFrame) -> DataFrame:
     return one_row_per(cb.select("LoanID", "AccountStatus", "TermsDuration"), "LoanID", "cb")
 
 
+def _loans(loan: DataFrame) -> DataFrame:
+    columns = ("LoanID", "Classification", "OriginalAmount", "Rate", "PAInterestRate")
+    return one_row_per(loan.select(*columns), "LoanID", "loan")
+
+
 def loan_terms(loan: DataFrame, cb: DataFrame) -> DataFrame:
     """(LoanID, Tier, Term, LoanAmount, InterestRate) for every loan."""
-    loans = one_row_per(
-        loan.select("LoanID", "Classification", "OriginalAmount", "Rate", "PAInterestRate"),
-        "LoanID",
-        "loan",
-    )
-    return loans.join(_credit(cb), "LoanID", "left").select("LoanID", *term_columns())
+    return _loans(loan).join(_credit(cb), "LoanID", "left").select("LoanID", *term_columns())
 
 
 def term_columns(modified: Column | None = None) -> list[Column]:
@@ -37,16 +37,16 @@ def term_columns(modified: Column | None = None) -> list[Column]:
 def with_terms(rows: DataFrame, loan: DataFrame, cb: DataFrame) -> DataFrame:
     """Add the terms to rows of any grain; rows of unknown loans keep NULLs.
 
-    The credit and loan tables join one after the other, so a row whose loan is
-    in only one of them still gets that one's columns.
+    The term joins on its own, as a loan can be known to the credit table only.
+    The rest is computed once per loan, not once per row.
     """
-    loans = one_row_per(
-        loan.select("LoanID", "Classification", "OriginalAmount", "Rate", "PAInterestRate"),
-        "LoanID",
-        "loan",
+    duration = _credit(cb).select("LoanID", F.col("TermsDuration").alias("Term"))
+    terms = loan_terms(loan, cb).drop("Term")
+    return (
+        rows.join(duration, "LoanID", "left")
+        .join(terms, "LoanID", "left")
+        .select(*rows.columns, "Tier", "Term", "LoanAmount", "InterestRate")
     )
-    joined = rows.join(_credit(cb), "LoanID", "left").join(loans, "LoanID", "left")
-    return joined.select(*[rows[name] for name in rows.columns], *term_columns())
 
 
 def effective_rates(loan: DataFrame, cb: DataFrame) -> DataFrame:

@@ -74,16 +74,19 @@ def percent_to_fraction(percent: Column) -> Column:
     return (percent.cast(RATE) / F.lit(Decimal("100.0"))).cast(RATE)
 
 
-def effective_rate(modified: Column | None = None) -> Column:
-    """The charge-off rate of charged-off loans, else the contract rate.
+def reduced_rate(modified: Column | None = None) -> Column:
+    """The loan carries the charge-off rate: charged off, or ``modified``.
 
-    ``modified`` marks loans inside a rate-modification period, which carry the
-    charge-off rate as well.
+    ``modified`` marks loans inside a rate-modification period.
     """
-    reduced = F.col("AccountStatus") == CHARGED_OFF
-    if modified is not None:
-        reduced = reduced | modified
-    return percent_to_fraction(F.when(reduced, F.col("PAInterestRate")).otherwise(F.col("Rate")))
+    charged_off = F.col("AccountStatus") == CHARGED_OFF
+    return charged_off if modified is None else charged_off | modified
+
+
+def effective_rate(modified: Column | None = None) -> Column:
+    """The charge-off rate where it applies, else the contract rate."""
+    percent = F.when(reduced_rate(modified), F.col("PAInterestRate")).otherwise(F.col("Rate"))
+    return percent_to_fraction(percent)
 
 
 def in_period(day: date, start: str, end: str) -> Column:

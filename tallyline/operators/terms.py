@@ -37,15 +37,28 @@ def term_columns(modified: Column | None = None) -> list[Column]:
 def with_terms(rows: DataFrame, loan: DataFrame, cb: DataFrame) -> DataFrame:
     """Add the terms to rows of any grain; rows of unknown loans keep NULLs.
 
-    The term joins on its own, as a loan can be known to the credit table only.
-    The rest is computed once per loan, not once per row.
+    The credit and loan tables join one after the other, so a row whose loan is
+    in only one of them still gets that one's columns. Both rates are converted
+    once per loan; a row only picks one.
     """
-    duration = _credit(cb).select("LoanID", F.col("TermsDuration").alias("Term"))
-    terms = loan_terms(loan, cb).drop("Term")
+    loans = _loans(loan).select(
+        "LoanID",
+        c.tier().alias("Tier"),
+        F.col("OriginalAmount").alias("LoanAmount"),
+        c.percent_to_fraction(F.col("PAInterestRate")).alias("_reduced"),
+        c.percent_to_fraction(F.col("Rate")).alias("_contract"),
+    )
+    rate = F.when(c.reduced_rate(), F.col("_reduced")).otherwise(F.col("_contract"))
     return (
-        rows.join(duration, "LoanID", "left")
-        .join(terms, "LoanID", "left")
-        .select(*rows.columns, "Tier", "Term", "LoanAmount", "InterestRate")
+        rows.join(_credit(cb), "LoanID", "left")
+        .join(loans, "LoanID", "left")
+        .select(
+            *rows.columns,
+            "Tier",
+            F.col("TermsDuration").alias("Term"),
+            "LoanAmount",
+            rate.alias("InterestRate"),
+        )
     )
 
 

@@ -76,7 +76,14 @@ def test_entry_returns_the_flagship(spark):
     ]
 
 
-@pytest.mark.parametrize("setting", [("spark.sql.shuffle.partitions", "13"), ("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")])
+@pytest.mark.parametrize(
+    "setting",
+    [
+        ("spark.sql.shuffle.partitions", "13"),
+        ("spark.sql.autoBroadcastJoinThreshold", "-1"),
+        ("spark.sql.adaptive.enabled", "false"),
+    ],
+)
 @pytest.mark.parametrize(
     "name", ["cumulative_ledger_as_of", "interval_align_raw", "snapshot_per_statement"]
 )

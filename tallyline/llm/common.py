@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,23 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this library importable in the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parents[1]
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``: the fold of a document."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor))

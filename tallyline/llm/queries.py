@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, rules
+from tallyline.llm import oracle, packing, rules, tokens
 from tallyline.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,28 @@ def oracle_sql() -> dict[str, str]:
     return oracle.oracle_sql()
 
 
+# Tokens of a sequence.
+CONTEXT = 4096
+
+
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document, with a digest of its ids."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    pieces = packing.tokenised(docs, tokenizer("word_bpe_49k.json"), CONTEXT)
+    digests = pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32")
+    )
+    return packing.pack(digests, CONTEXT)
+
+
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return tokens.with_counts(docs, tokenizer("piece_bpe_32k.model"), CONTEXT)
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document and the verdicts of the base rules and the current policy."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, packing, rules, tokens
+from tallyline.llm import oracle, packing, rules, simhash, tokens
 from tallyline.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_counts(docs, tokenizer("piece_bpe_32k.model"), CONTEXT)
 
 
+@_query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the component it is linked to."""
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document and the verdicts of the base rules and the current policy."""

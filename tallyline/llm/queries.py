@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, packing, rules, simhash, tokens
+from tallyline.llm import oracle, packing, rules, simhash, substring, tokens
 from tallyline.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,13 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the windows that earlier ones hold."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring.without_repeats(docs, digest=True)
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document and the verdicts of the base rules and the current policy."""

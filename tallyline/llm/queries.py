@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, packing, rules, simhash, substring, tokens
-from tallyline.llm.common import documents
+from tallyline.llm import oracle, packing, rules, simhash, substring, tokens, toxicity
+from tallyline.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_counts(docs, tokenizer("piece_bpe_32k.model"), CONTEXT)
 
 
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    fold = remainder("doc_id", 4)
+    scorer = toxicity.fit(docs, labels(spark, sf_dir).filter(fold != 2))
+    return toxicity.scored(docs, scorer).select(
+        "doc_id", (fold == 2).alias("held_out"), "score", "predicted", "evidence"
+    )
+
+
 @_query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every document and the component it is linked to."""

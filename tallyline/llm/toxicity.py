@@ -40,9 +40,11 @@ TERMS = 4096
 STEMS = (4, 5, 6)
 # What makes a term count: the G statistic of its table against the label, and how many times
 # more often toxic examples have it.
-MIN_G, MIN_LIFT = 30.0, 4.0
-NEIGHBOURS = 15
+MIN_G, MIN_LIFT = 20.0, 4.0
+NEIGHBOURS = 7
 BLOCK = 64
+# The weight in place of an idf for all words outside the vocabulary, taken as one term.
+POOLED = 2.0
 # Added to distances, so that an equal example does not outvote all others.
 NEAR = 0.05
 THRESHOLD = 0.3
@@ -61,12 +63,41 @@ def terms(text: str | None) -> Counter[str]:
     return found
 
 
+class Vocabulary:
+    """Rows and idf of terms. All other words of a text are pooled in one more row, the last."""
+
+    def __init__(self, idf: list[tuple[str, float]]):
+        self.idf = {term: (i, weight) for i, (term, weight) in enumerate(idf)}
+        self._starts = {term.rstrip("*")[: STEMS[0]] for term in self.idf}
+
+    def vector(self, text: str | None) -> tuple[list[int], list[float]]:
+        """The rows of a text and their weights at length one; none without a known term."""
+        counts: Counter[str] = Counter()
+        others = 0
+        for word, n in Counter(_WORD.findall((text or "").lower())).items():
+            found = ()
+            if word[: STEMS[0]] in self._starts:
+                stems = [word[:s] + "*" for s in STEMS if len(word) > s]
+                found = [t for t in (word, *stems) if t in self.idf]
+                for term in found:
+                    counts[term] += n
+            if not found:
+                others += n
+        if not counts:
+            return [], []
+        rows = [self.idf[t][0] for t in counts]
+        weights = [(1 + math.log(n)) * self.idf[t][1] for t, n in counts.items()]
+        if others:
+            rows.append(len(self.idf))
+            weights.append(POOLED * (1 + math.log(others)))
+        length = math.hypot(*weights)
+        return rows, [w / length for w in weights]
+
+
 @dataclass
 class Index:
-    """Examples by term and block; ``vocabulary`` gives a term's row and its idf."""
+    """Examples by term and block."""
 
-    vocabulary: dict[str, tuple[int, float]]
-    starts: set[str]
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray
@@ -75,19 +106,6 @@ class Index:
     weight: np.ndarray
     highest: np.ndarray  # by term and block: the largest weight
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The rows of the terms of a text, and their weights at length one."""
-        counts: Counter[int] = Counter()
-        known, starts = self.vocabulary, self.starts
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            if word[: STEMS[0]] in starts:
-                for term in (word, *[word[:s] + "*" for s in STEMS if len(word) > s]):
-                    if term in known:
-                        counts[term] += n
-        rows = np.array([known[t][0] for t in counts], dtype=np.int64)
-        weights = np.array([(1 + math.log(n)) * known[t][1] for t, n in counts.items()])
-        return rows, weights / (np.linalg.norm(weights) or 1.0)
-
     def nearest(self, rows: np.ndarray, weights: np.ndarray, k: int, without: int | None = None):
         """The k examples of highest cosine, ties by their order, and the cosines."""
         bounds = weights @ self.highest[rows]
@@ -108,11 +126,11 @@ class Index:
             best, scores = best[order], scores[order]
         return best, scores
 
-    def votes(self, text: str | None, k: int, without: int | None = None) -> tuple:
+    def votes(self, rows: list[int], weights: list[float], k: int, without: int | None = None):
         """The votes for toxic, all votes, and the three nearest examples."""
-        rows, weights = self.vector(text)
         if not len(rows):
             return 0.0, 0.0, []
+        rows, weights = np.asarray(rows, dtype=np.int64), np.asarray(weights)
         best, cosines = self.nearest(rows, weights, k, without)
         power = self.share[best] / (1 + NEAR - np.minimum(cosines, 1.0))
         evidence = [
@@ -122,39 +140,37 @@ class Index:
         return float(power @ self.toxic[best]), float(power.sum()), evidence
 
 
-def build(
-    vocabulary: list[tuple[str, float]], examples: list[tuple[int, int, float, str]]
-) -> Index:
-    """The index of (id, toxic, share, text) rows; examples with the same chief terms are neighbours."""
-    known = {term: (i, idf) for i, (term, idf) in enumerate(vocabulary)}
-    starts = {term.rstrip("*")[: STEMS[0]] for term in known}
-    empty = np.empty(0)
-    index = Index(known, starts, empty, empty, empty, empty, empty, empty, empty)
-    vectors = [(index.vector(e[3]), e) for e in examples]
-    held = [(v, e) for v, e in vectors if len(v[0])]
-    held.sort(key=lambda x: (x[0][0][np.argsort(-x[0][1])][:3].tolist(), x[1][0]))
+def build(terms: int, examples: list[tuple[int, int, float, list[int], list[float]]]) -> Index:
+    """The index of (id, toxic, share, rows, weights); those with the same chief terms are neighbours."""
+    held = sorted(
+        (e for e in examples if len(e[3])),
+        key=lambda e: (
+            [row for _, row in sorted(zip(e[4], e[3], strict=True), reverse=True)][:3],
+            e[0],
+        ),
+    )
     blocks = max(1, -(-len(held) // BLOCK))
     postings = sorted(
-        (int(row), n, float(w))
-        for n, ((rows, weights), _) in enumerate(held)
-        for row, w in zip(rows, weights, strict=True)
+        (row, n, weight)
+        for n, e in enumerate(held)
+        for row, weight in zip(e[3], e[4], strict=True)
     )
-    row = np.array([p[0] for p in postings], dtype=np.int64)
-    index.example = np.array([p[1] for p in postings], dtype=np.int64)
-    index.weight = np.array([p[2] for p in postings])
-    cell = row * blocks + index.example // BLOCK
-    edges = np.searchsorted(cell, np.arange(len(known) * blocks + 1))
-    index.first = np.stack(
-        [edges[:-1].reshape(len(known), blocks), edges[1:].reshape(len(known), blocks)], axis=-1
+    example = np.array([p[1] for p in postings], dtype=np.int64)
+    weight = np.array([p[2] for p in postings])
+    cell = np.array([p[0] for p in postings], dtype=np.int64) * blocks + example // BLOCK
+    edges = np.searchsorted(cell, np.arange(terms * blocks + 1))
+    first = np.concatenate([edges[:-1].reshape(terms, blocks), edges[blocks::blocks, None]], axis=1)
+    highest = np.zeros(terms * blocks)
+    np.maximum.at(highest, cell, weight)
+    return Index(
+        ids=np.array([e[0] for e in held], dtype=np.int64),
+        toxic=np.array([e[1] for e in held], dtype=np.int64),
+        share=np.array([e[2] for e in held]),
+        first=first,
+        example=example,
+        weight=weight,
+        highest=highest.reshape(terms, blocks),
     )
-    index.first = np.concatenate([index.first[:, :, 0], index.first[:, -1:, 1]], axis=1)
-    index.highest = np.zeros(len(known) * blocks)
-    np.maximum.at(index.highest, cell, index.weight)
-    index.highest = index.highest.reshape(len(known), blocks)
-    index.ids = np.array([e[0] for _, e in held], dtype=np.int64)
-    index.toxic = np.array([e[1] for _, e in held], dtype=np.int64)
-    index.share = np.array([e[2] for _, e in held])
-    return index
 
 
 def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[DataFrame, dict[int, float]]:
@@ -219,13 +235,19 @@ def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> list[
 
 @dataclass
 class Scorer:
-    """A fitted model: the index, the constant weight, and the shares it votes for."""
+    """A fitted model: the vocabulary and the index, the constant weight, and what it votes for."""
 
+    vocabulary: Vocabulary | None
     index: Index | None
     constant: float
     prior: float
     without_terms: float
 
+    def votes(self, text: str | None, k: int) -> tuple:
+        if not self.vocabulary or not self.index:
+            return 0.0, 0.0, []
+        return self.index.votes(*self.vocabulary.vector(text), k)
+
     def score(self, votes: float, total: float) -> float:
         if not total:
             return self.without_terms
@@ -239,28 +261,31 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
     sample, sizes = _sample(docs, labelled, limit)
     total = sum(sizes.values())
     prior = sizes.get(1, 0) / total if total else 0.0
-    vocabulary = _vocabulary(sample, sizes, TERMS)
-    if not vocabulary:
-        return Scorer(None, 1.0, prior, prior)
-    known = {t for t, _ in vocabulary}
-
-    def own(text: pd.Series) -> pd.Series:
-        """The words of an example that hold a term, which are all that the index needs."""
-        kept = [
-            " ".join(w for w in _WORD.findall((t or "").lower()) if not known.isdisjoint(terms(w)))
-            for t in text
-        ]
-        return pd.Series(kept)
-
-    held = sample.select("doc_id", "toxic", "share", F.pandas_udf(own, "string")("text").alias("text"))
-    examples = [(r.doc_id, r.toxic, r.share, r.text) for r in held.collect()]
-    index = build(vocabulary, examples)
+    idf = _vocabulary(sample, sizes, TERMS)
+    if not idf:
+        return Scorer(None, None, 1.0, prior, prior)
+    vocabulary = Vocabulary(idf)
+
+    @F.pandas_udf("rows array<int>, weights array<double>")
+    def vectors(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([vocabulary.vector(t) for t in text], columns=["rows", "weights"])
+
+    held = stored(
+        sample.select("doc_id", "toxic", "share", vectors("text").alias("v")).select(
+            "doc_id", "toxic", "share", "v.rows", "v.weights"
+        ),
+        "vectors",
+    )
+    index = build(len(idf) + 1, [tuple(r) for r in held.collect()])
     shared = spark.sparkContext.broadcast(index)
 
     def left_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [
-                shared.value.votes(t, k, i)[:2] for t, i in zip(frame["text"], frame["doc_id"], strict=True)
+                shared.value.votes(rows, weights, k, without)[:2]
+                for rows, weights, without in zip(
+                    frame["rows"], frame["weights"], frame["doc_id"], strict=True
+                )
             ]
             yield pd.DataFrame(found, columns=["votes", "total"]).assign(
                 toxic=frame["toxic"].to_numpy(), share=frame["share"].to_numpy()
@@ -279,7 +304,7 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
         return float(-(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
 
     constant = min((10.0**e for e in range(-2, 3)), key=loss)
-    return Scorer(index, constant, prior, without)
+    return Scorer(vocabulary, index, constant, prior, without)
 
 
 def scored(
@@ -296,7 +321,7 @@ def scored(
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
-            found = [model.index.votes(t, k) if model.index else (0.0, 0.0, []) for t in batch]
+            found = [model.votes(t, k) for t in batch]
             yield pd.DataFrame(
                 {
                     "score": [model.score(votes, total) for votes, total, _ in found],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, packing, rules, simhash, substring, tokens, toxicity
+from tallyline.llm import oracle, packing, quality, rules, simhash, substring, tokens, toxicity
 from tallyline.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels outside the held-out fold."""
+    rows = quality.described_once(documents(spark, sf_dir).select("doc_id", "text"))
+    fold = remainder("doc_id", 5)
+    model = quality.fit(rows, labels(spark, sf_dir).filter(fold != 0))
+    return quality.scored(rows, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the windows that earlier ones hold."""

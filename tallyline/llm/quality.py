@@ -31,7 +31,7 @@ THRESHOLD = 0.3
 # Rows that the prior variances weigh like in a class covariance.
 PRIOR_ROWS = 50.0
 # The least variance of a standardised statistic.
-FLOOR = 1e-3
+FLOOR = 0.3
 # Distances beyond which log densities are no longer told apart, per statistic.
 FAR = 50.0
 

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from tallyline.llm import oracle, packing, quality, rules, simhash, substring, tokens, toxicity
+from tallyline.llm import (
+    decontamination,
+    oracle,
+    packing,
+    quality,
+    rules,
+    simhash,
+    substring,
+    tokens,
+    toxicity,
+)
 from tallyline.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +91,15 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of documents that hold a test item."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.with_matches(docs, items)
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the windows that earlier ones hold."""

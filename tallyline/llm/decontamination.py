@@ -21,13 +21,14 @@ searched. A NULL text has no words; repeated documents are each searched; ids ma
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import ship
@@ -306,15 +307,19 @@ def with_matches(
     """
     ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    found = []
-    for block in blocks(items):
-        shared = context.broadcast(Index(block, similarity))
 
-        def of(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
+    def matcher(shared: Broadcast) -> Callable[[Column], Column]:
+        @F.pandas_udf(MATCH)
+        def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
                 yield pd.Series(search(shared.value, batch.tolist()), index=batch.index)
 
-        found.append(F.pandas_udf(of, MATCH)(F.col(text)))
+        return of
+
+    found = [
+        matcher(context.broadcast(Index(block, similarity)))(F.col(text))
+        for block in blocks(items)
+    ]
     matches = F.concat(*found) if found else F.array().cast(MATCH)
     kept = [c for c in docs.columns if c != "matches"]
     return docs.select(*kept, F.sort_array(matches).alias("matches"))

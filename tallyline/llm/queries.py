@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
 from tallyline.llm import (
+    chat,
     decontamination,
     oracle,
     packing,
@@ -18,6 +19,7 @@ from tallyline.llm import (
     substring,
     tokens,
     toxicity,
+    url_filters,
 )
 from tallyline.llm.common import documents, labels, remainder
 
@@ -42,6 +44,53 @@ def oracle_sql() -> dict[str, str]:
 # Tokens of a sequence.
 CONTEXT = 4096
 
+# Lists for the pages: dated entries derived from their own hosts and paths. ``n`` is a number from
+# a digest of the value, which spreads days and lists over the entries.
+_ENTRIES = """
+with named as (
+    select
+        regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1) as host,
+        regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]+)', 1) as top
+    from pages
+), valued as (
+    select distinct 'domain' as kind, regexp_replace(host, '^(www|m|blog)[.]', '') as value from named
+    union all
+    select distinct 'host', host from named
+    union all
+    select distinct 'prefix', concat(host, '/', top) from named where top <> ''
+), numbered as (
+    select kind, value, cast(conv(substr(md5(value), 1, 7), 16, 10) as bigint) as n
+    from valued where value <> ''
+), listed as (
+    select
+        case when kind = 'host' then 'allow' when n % 3 = 0 then 'malware' else 'spam' end as list,
+        kind, value, n, date_add(date'2024-01-01', cast(n % 300 as int)) as day
+    from numbered
+    where n % case kind when 'domain' then 5 when 'host' then 11 else 7 end = 0
+)
+select list, kind, value, 'add' as action, day from listed
+union all
+select list, kind, value, 'remove', date_add(day, 60) from listed where n % 2 = 0
+union all
+select list, kind, value, 'add', date_add(day, 90) from listed where n % 4 = 0
+"""
+
+
+@_query
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by the list entries active when it was fetched, an hour and a day given by its id."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    entries = spark.sql(_ENTRIES.replace("from pages", "from {pages}"), pages=pages)
+    fetched = "timestampadd(hour, cast(page_id % 8784 as int), timestamp'2024-01-01')"
+    captures = pages.withColumn("fetched_at", F.expr(fetched))
+    return url_filters.judged(captures, entries).select(
+        "page_id",
+        F.to_date("fetched_at").cast("string").alias("fetched_on"),
+        F.array_join("lists", ",").alias("lists"),
+        "n_entries",
+        "kept",
+    )
+
 
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +156,20 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.without_repeats(docs, digest=True)
 
 
+@_query
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation preferred to itself with the ending of the next one."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    chosen = turns.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    changed = F.expr("turn >= 1 + pair_id % 4")
+    following = chosen.withColumn("pair_id", F.col("pair_id") - 1)
+    known = chosen.select("pair_id").distinct()
+    rejected = chosen.filter(~changed).unionByName(
+        following.filter(changed).join(known, "pair_id", "left_semi")
+    )
+    return chat.preferences(chosen, rejected)
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document and the verdicts of the base rules and the current policy."""

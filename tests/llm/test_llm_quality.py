@@ -1,0 +1,95 @@
+"""The quality classifier: moments, densities, held-out accuracy and odd inputs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tallyline.llm import quality
+
+
+def corpus(n=300, seed=1):
+    random.seed(seed)
+    rows = []
+    for i in range(n):
+        good = int(random.random() < 0.7)
+        words = [f"word{random.randrange(200)}" for _ in range(random.randint(20, 120))]
+        if not good:
+            words = [w.upper() + "!!" if i % 2 else w + " |" for w in words]
+        rows.append((i, " ".join(words) + ".", good))
+    return rows
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+
+
+def test_moments_are_those_of_all_labelled_rows(spark, documents):
+    rows = corpus()
+    described = quality.described(documents([r[:2] for r in rows]).repartition(5))
+    model = quality.fit(described, labelled(spark, rows))
+    x = np.array([quality.statistics(t) for _, t, _ in rows])
+    y = np.array([r[2] for r in rows])
+    own = {c: (float((y == c).sum()), x[y == c].sum(0), x[y == c].T @ x[y == c]) for c in (0, 1)}
+    expected = quality.discriminant(own)
+    assert np.allclose(model.score(x), expected.score(x))
+
+
+def test_score_is_the_ratio_of_gaussian_densities():
+    rng = np.random.default_rng(1)
+    d = len(quality.STATISTICS)
+    x = rng.normal(size=(400, d))
+    y = (rng.random(400) < 0.6).astype(int)
+    x[y == 1] += 0.4
+    own = {c: (float((y == c).sum()), x[y == c].sum(0), x[y == c].T @ x[y == c]) for c in (0, 1)}
+    model = quality.discriminant(own)
+    z = (x[:20] - model.scale[0]) / model.scale[1]
+    density = []
+    for c in (0, 1):
+        factor = np.linalg.inv(model.whiten[c])
+        cov = factor @ factor.T
+        diff = z - model.centres[c]
+        distance = np.einsum("ni,ij,nj->n", diff, np.linalg.inv(cov), diff)
+        density.append(model.log_share[c] - 0.5 * (distance + np.linalg.slogdet(cov)[1]))
+    assert np.allclose(model.score(x[:20]), 1 / (1 + np.exp(density[0] - density[1])))
+
+
+def test_held_out_accuracy(spark, documents):
+    rows = corpus()
+    described = quality.described(documents([r[:2] for r in rows]))
+    model = quality.fit(described, labelled(spark, [r for r in rows if r[0] % 5]))
+    truth = {i: y for i, _, y in rows}
+    found = [r for r in quality.scored(described, model).collect() if r.doc_id % 5 == 0]
+    assert sum(r.predicted == truth[r.doc_id] for r in found) / len(found) >= 0.95
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1)], [(None, 1), (1, None)], [(1, 0), (2, 1)]])
+def test_odd_rows_and_few_labels(spark, documents, odd_rows, labels):
+    described = quality.described(documents(odd_rows))
+    given = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = quality.scored(described, quality.fit(described, given)).collect()
+    assert len(found) == len(odd_rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= quality.THRESHOLD) for r in found)
+
+
+def test_conflicting_labels_count_as_bad(spark, documents):
+    rows = corpus(100)
+    described = quality.described(documents([r[:2] for r in rows]))
+    pairs = [(i, y) for i, _, y in rows]
+    twice = [(i, 1) for i, y in pairs if not y]
+    one = quality.fit(described, spark.createDataFrame(pairs, "doc_id long, quality int"))
+    two = quality.fit(described, spark.createDataFrame(pairs + twice, "doc_id long, quality int"))
+    assert np.allclose(one.centres, two.centres)
+
+
+def test_empty_table(spark, documents):
+    rows = corpus(50)
+    described = quality.described(documents([r[:2] for r in rows]))
+    model = quality.fit(described, labelled(spark, rows))
+    assert quality.scored(quality.described(documents([])), model).count() == 0
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "a", "a a", "|" * 10, "ä\x0bö", "x " * 50_000])
+def test_statistics_are_finite(text):
+    found = quality.statistics(text)
+    assert len(found) == len(quality.STATISTICS) and np.isfinite(found).all()

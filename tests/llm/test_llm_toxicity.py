@@ -1,0 +1,106 @@
+"""Toxicity: exact neighbours, votes, held-out accuracy, and inputs that could break it."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tallyline.llm import toxicity
+
+
+def corpus(n=400, seed=1):
+    random.seed(seed)
+    plain = [f"word{i}" for i in range(300)]
+    bad = ["vilest", "rotten", "wretch", "fool"]
+    rows = []
+    for i in range(n):
+        toxic = int(random.random() < 0.25)
+        words = random.choices(plain, k=random.randint(10, 60))
+        if toxic:
+            for _ in range(random.randint(2, 5)):
+                words.insert(random.randrange(len(words)), random.choice(bad) + random.choice(["", "ly"]))
+        rows.append((i, " ".join(words), toxic))
+    return rows
+
+
+def labelled(spark, rows):
+    return spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+
+
+def test_block_max_search_equals_all_cosines():
+    rng = np.random.default_rng(3)
+    terms = 40
+    vectors = []
+    for _ in range(500):
+        rows = rng.choice(terms, rng.integers(1, 8), replace=False)
+        weights = rng.random(len(rows))
+        vectors.append((rows, weights / np.linalg.norm(weights)))
+    examples = [(i, 0, 1.0, r.tolist(), w.tolist()) for i, (r, w) in enumerate(vectors)]
+    index = toxicity.build(terms, examples)
+    dense = np.zeros((500, terms))
+    for n, i in enumerate(index.ids):
+        dense[n, vectors[i][0]] = vectors[i][1]
+    for rows, weights in vectors[:60]:
+        best, cosines = index.nearest(rows, weights, 9)
+        query = np.zeros(terms)
+        query[rows] = weights
+        scores = dense @ query
+        assert np.allclose(cosines, np.sort(scores)[::-1][: len(cosines)])
+        assert np.allclose(scores[best], cosines)
+
+
+def test_an_example_can_be_left_out():
+    examples = [(7, 1, 1.0, [0], [1.0]), (8, 0, 1.0, [0], [1.0])]
+    index = toxicity.build(2, examples)
+    best, _ = index.nearest(np.array([0]), np.array([1.0]), 5, without=7)
+    assert index.ids[best].tolist() == [8]
+
+
+def test_held_out_accuracy(spark, documents):
+    rows = corpus()
+    train = [r for r in rows if r[0] % 4]
+    scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, train))
+    found = toxicity.scored(documents([r[:2] for r in rows]), scorer).collect()
+    truth = {i: y for i, _, y in rows}
+    right = [r.predicted == truth[r.doc_id] for r in found if r.doc_id % 4 == 0]
+    assert sum(right) / len(right) >= 0.95
+    assert all(0 <= r.score <= 1 for r in found)
+    told = [r for r in found if r.predicted and r.evidence]
+    assert told and all(e.toxic in (0, 1) and 0 < e.similarity <= 1 + 1e-9 for r in told for e in r.evidence)
+
+
+def test_the_sample_is_bounded(spark, documents):
+    rows = corpus()
+    sample, sizes = toxicity._sample(documents([r[:2] for r in rows]), labelled(spark, rows), 20)
+    assert sample.count() == 40 and sum(sizes.values()) == len(rows)
+
+
+def test_odd_rows(spark, documents, odd_rows):
+    rows = corpus(200)
+    scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, rows))
+    found = toxicity.scored(documents([*odd_rows, (50, "rotten fool")]), scorer).collect()
+    assert len(found) == len(odd_rows) + 1
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[50].predicted == 1
+    assert by_id[2].score == by_id[3].score and by_id[2].evidence == []
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1)], [(None, 1), (1, None)]])
+def test_too_few_labels(spark, documents, labels):
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = documents([(1, "some text"), (2, None)])
+    scores = [r.score for r in toxicity.scored(docs, toxicity.fit(docs, given)).collect()]
+    assert len(scores) == 2 and all(0 <= s <= 1 for s in scores)
+
+
+def test_conflicting_labels_count_as_toxic(spark, documents):
+    rows = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    sample, sizes = toxicity._sample(documents([(1, "a"), (2, "b")]), rows, 5)
+    assert sizes == {0: 1, 1: 1}
+    assert {r.doc_id: r.toxic for r in sample.collect()} == {1: 1, 2: 0}
+
+
+def test_empty_table(spark, documents):
+    rows = corpus(100)
+    scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, rows))
+    assert toxicity.scored(documents([]), scorer).count() == 0

@@ -1,0 +1,114 @@
+"""URL filters against a loop over entries, and the plan of the native path."""
+
+import random
+import re
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from tallyline.llm import url_filters
+
+DAY = date(2024, 1, 1)
+ENTRIES = "list string, kind string, value string, action string, day date"
+
+
+def state(entries, key, day):
+    """Whether an entry is listed on a day, by replaying its changes."""
+    actions = {}
+    for *of, action, at in entries:
+        if tuple(of) == key and None not in (*of, action, at) and at <= day:
+            actions.setdefault(at, set()).add(action)
+    listed = False
+    for at in sorted(actions):
+        listed = "remove" not in actions[at]
+    return listed
+
+
+def judged(url, day, entries):
+    match = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
+    host = match[1].lower().rstrip(".") if match else ""
+    if not host or day is None:
+        return [], 0, True
+    path = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", url)[1]
+    segments = [s for s in path.split("/") if s]
+    labels = host.split(".")
+    values = {("domain", ".".join(labels[i:])) for i in range(len(labels))}
+    values |= {("host", host)}
+    values |= {("prefix", "/".join([host, *segments[:i]])) for i in range(len(segments) + 1)}
+    keys = {tuple(e[:3]) for e in entries if None not in e}
+    hits = [k for k in keys if (k[1], k[2]) in values and state(entries, k, day)]
+    lists = sorted({k[0] for k in hits})
+    return lists, len(hits), not lists or "allow" in lists
+
+
+URLS = [
+    "http://a.example.com/x/y?q=1",
+    "https://A.Example.com./x/y/z#t",
+    "http://u:p@b.example.com:80//x//y",
+    "http://example.com",
+    "ftp://c.org/long/" + "s/" * 300,
+    "not a url",
+    "http://",
+    "",
+    None,
+]
+
+
+def random_entries(seed):
+    random.seed(seed)
+    values = [
+        ("domain", "example.com"), ("domain", "com"), ("host", "a.example.com"),
+        ("prefix", "a.example.com/x"), ("prefix", "a.example.com/x/y"), ("prefix", "c.org/long/s/s"),
+        ("prefix", "b.example.com"), ("host", "example.com"),
+    ]
+    return [
+        (
+            random.choice(["spam", "malware", "allow"]),
+            *random.choice(values),
+            random.choice(["add", "remove"]),
+            DAY + timedelta(random.randrange(30)),
+        )
+        for _ in range(40)
+    ] + [(None, "host", "a", "add", DAY), ("spam", "host", None, "add", DAY)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_replay_of_the_entries(spark, seed):
+    entries = random_entries(seed)
+    captures = [
+        (i, random.choice(URLS), datetime(2024, 1, 1) + timedelta(hours=random.randrange(800)), "own")
+        for i in range(150)
+    ]
+    captures += [captures[0], (None, URLS[0], None, "own"), (None, URLS[0], datetime(2024, 1, 9), "own")]
+    given = spark.createDataFrame(captures, "id long, url string, fetched_at timestamp, kept string")
+    found = url_filters.judged(given, spark.createDataFrame(entries, ENTRIES))
+    rows = [(r.id, r.url, r.fetched_at, r.lists, r.n_entries, r.kept) for r in found.collect()]
+    expected = [
+        (i, url, at, *judged(url, at and at.date(), entries)) for i, url, at, _ in captures
+    ]
+    assert sorted(rows, key=repr) == sorted(expected, key=repr)
+
+
+def test_intervals(spark):
+    days = [DAY + timedelta(i) for i in range(6)]
+    entries = [
+        ("spam", "host", "a", "remove", days[0]),
+        ("spam", "host", "a", "add", days[1]),
+        ("spam", "host", "a", "add", days[2]),
+        ("spam", "host", "a", "remove", days[3]),
+        ("spam", "host", "a", "add", days[4]),
+        ("spam", "host", "b", "add", days[5]),
+        ("spam", "host", "b", "remove", days[5]),
+    ]
+    found = url_filters.intervals(spark.createDataFrame(entries, ENTRIES)).collect()
+    ends = sorted((r.valid_from, str(r.valid_to)) for r in found)
+    assert ends == [(days[1], str(days[3])), (days[4], url_filters.OPEN)]
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], ENTRIES)
+    one = spark.createDataFrame([("spam", "host", "a", "add", DAY)], ENTRIES)
+    capture = spark.createDataFrame([(1, "http://a/", datetime(2024, 2, 1))], "id long, url string, fetched_at timestamp")
+    assert url_filters.judged(capture, none).first().kept
+    assert not url_filters.judged(capture, one).first().kept
+    assert url_filters.judged(capture.limit(0), one).count() == 0

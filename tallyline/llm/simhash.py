@@ -117,7 +117,8 @@ def links(fps: DataFrame) -> DataFrame:
         "keys",
     )
     pairs = shared.filter("n = 2").select("a", "b").distinct()
-    crowded = shared.filter("n > 2").select("key")
+    # Merged at any size: a broadcast that only small inputs allow would hide a shuffle.
+    crowded = shared.filter("n > 2").select("key").hint("merge")
     members = keyed.join(crowded, "key", "left_semi").select("fp").distinct()
     ball = _ball_keys(stored(members, "members"))
     least = ball.groupBy("key").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n"))

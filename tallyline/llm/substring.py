@@ -124,7 +124,31 @@ def _bits(windows: int) -> int:
     return (min(wanted, MOST_CELLS) - 1).bit_length()
 
 
-def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -> list[bytearray]:
+class Sketch:
+    """The merged sketch, as compressed blocks until a worker looks a window up."""
+
+    def __init__(self, bits: int, blocks: dict[tuple[int, int], bytes]):
+        self._bits, self._blocks, self._lines = bits, blocks, None
+
+    def __reduce__(self):
+        return Sketch, (self._bits, self._blocks)
+
+    def likely(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the cells of each window in both lines were seen twice or more."""
+        if self._lines is None:
+            self._lines = [np.zeros((1 << self._bits) // 8, dtype=np.uint8) for _ in range(2)]
+            step = CELL_BLOCK // 8
+            for (line, block), packed in self._blocks.items():
+                own = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+                self._lines[line][block * step : (block + 1) * step] = own
+        found = np.ones(len(hashes), dtype=bool)
+        for line, seen in enumerate(self._lines):
+            cell = _cells(hashes, line, self._bits)
+            found &= (seen[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+        return found
+
+
+def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -> Sketch:
     """The two rows of the merged sketch: a bit for each cell that was seen twice or more."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,11 +182,7 @@ def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -
         .sortWithinPartitions("line", "block")
         .mapInArrow(_merged, "line int, block int, bits binary")
     )
-    lines = [bytearray((1 << bits) // 8) for _ in range(2)]
-    step = CELL_BLOCK // 8
-    for row in merged.collect():
-        lines[row.line][row.block * step : (row.block + 1) * step] = zlib.decompress(row.bits)
-    return lines
+    return Sketch(bits, {(row.line, row.block): bytes(row.bits) for row in merged.collect()})
 
 
 class _Chunk:
@@ -180,16 +200,12 @@ class _Chunk:
         self.texts.append(xxhash.xxh64_intdigest(text, _SEED))
         self.hashes.append(hashes)
 
-    def found(self, lines: list[np.ndarray], bits: int, blocks: int) -> Iterator[tuple]:
+    def found(self, sketch: Sketch, blocks: int) -> Iterator[tuple]:
         """Rows for the second pass: by block what others may hold too, and what is settled here."""
         lengths = [len(h) for h in self.hashes]
         hashes = np.concatenate(self.hashes)
         self.hashes = []
-        likely = np.ones(len(hashes), dtype=bool)
-        for line, seen in enumerate(lines):
-            cell = _cells(hashes, line, bits)
-            likely &= (seen[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
-        at = np.flatnonzero(likely)
+        at = np.flatnonzero(sketch.likely(hashes))
         if not len(at):
             return
         firsts = np.cumsum([0, *lengths[:-1]])
@@ -197,7 +213,7 @@ class _Chunk:
         # Empty documents share a first place; the last of them owns it.
         start = (at - firsts[doc]).astype(np.uint32)
         high, low = hashes[at, 0], hashes[at, 1].astype(np.uint32)
-        del hashes, at, likely
+        del hashes, at
         order_of = np.unique(np.array(self.ids, dtype=np.int64), return_inverse=True)[1]
         rank = order_of[doc]
         order = np.lexsort((rank, low, high))
@@ -298,15 +314,14 @@ def removed_windows(
     guess = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     bits = bits or _bits(guess)
     blocks = 1 << max(6, (guess // HASH_BLOCK).bit_length())
-    lines = spark.sparkContext.broadcast([bytes(x) for x in repeated_cells(docs, bits, size, chunk)])
+    sketch = spark.sparkContext.broadcast(repeated_cells(docs, bits, size, chunk))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.frombuffer(line, dtype=np.uint8) for line in lines.value]
         kinds = [pa.int32(), *[pa.binary()] * 6]
         names = [f.split()[0] for f in _FOUND.split(", ")]
 
         def flush(held: _Chunk) -> Iterator[pa.RecordBatch]:
-            if rows := list(held.found(seen, bits, blocks)):
+            if rows := list(held.found(sketch.value, blocks)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=names,

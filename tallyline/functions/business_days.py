@@ -4,40 +4,59 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.operators.scans import running_totals
+
+
+def _calendar(first: Column, last: Column, days: DataFrame, closed: DataFrame) -> DataFrame:
+    """(date, open, rank) of the days between two aggregates of ``days``.
+
+    ``rank`` counts the business days up to and including the date, in blocks of a year.
+    """
+    calendar = days.agg(first.alias("first"), last.alias("last")).select(
+        F.explode(F.sequence("first", "last")).alias("date"), F.lit(0).alias("_all")
+    )
+    weekday = F.weekday("date") < 5
+    marked = (
+        calendar.join(closed, F.col("date") == F.col("HolidayDate"), "left")
+        .select("_all", "date", (weekday & F.col("HolidayDate").isNull()).alias("open"))
+    )
+    return running_totals(
+        marked,
+        {"rank": F.col("open").cast("long")},
+        order=["date"],
+        block=F.year("date"),
+        key="_all",
+    ).select("date", "open", "rank")
 
-def previous_business_days(days: DataFrame, day: str, n: int, holidays: DataFrame) -> DataFrame:
-    """(day, PreviousBusinessDay): the n-th business day before each distinct day.
 
-    The day itself does not count. Each distinct day looks back over as many
-    weeks as n business days and every holiday could take up, so the answer is
-    exact; the work is per day of the calendar, not per input row.
+def _numbered(days: DataFrame, day: str, n: int, holidays: DataFrame) -> DataFrame:
+    """The calendar that the n-th business days before all ``days`` lie in.
+
+    It reaches back as many weeks as n business days and every holiday could take up.
     """
     closed = holidays.filter(F.col("HolidayDate").isNotNull()).select("HolidayDate").distinct()
     weeks = F.ceil((F.lit(n) + closed.agg(F.count(F.lit(1))).scalar()) / F.lit(5)) + 1
-    earlier = (
-        days.filter(F.col(day).isNotNull())
-        .select(day)
-        .distinct()
-        .select(
-            day,
-            F.explode(
-                F.sequence(
-                    F.date_sub(day, (weeks * 7).cast("int")), F.date_sub(day, 1)
-                )
-            ).alias("PreviousBusinessDay"),
-        )
-        .filter(F.weekday("PreviousBusinessDay") < 5)
-    )
-    newest_first = Window.partitionBy(day).orderBy(F.desc("PreviousBusinessDay"))
-    return (
-        earlier.join(closed, F.col("PreviousBusinessDay") == F.col("HolidayDate"), "left_anti")
-        .withColumn("_back", F.row_number().over(newest_first))
-        .filter(F.col("_back") == n)
-        .drop("_back")
+    first = F.date_sub(F.min(day), (weeks * 7).cast("int"))
+    return _calendar(first, F.date_sub(F.max(day), 1), days, closed)
+
+
+def previous_business_days(days: DataFrame, day: str, n: int, holidays: DataFrame) -> DataFrame:
+    """(day, PreviousBusinessDay): the n-th business day before each distinct day.
+
+    The day itself does not count. The business days of the calendar that the days span are
+    numbered once; a day then looks up the number of the day before it, and the day whose
+    number is n - 1 less, both by equality. The work is per day of the calendar.
+    """
+    asked = days.filter(F.col(day).isNotNull()).select(day).distinct()
+    calendar = _numbered(asked, day, n, holidays)
+    before = calendar.select(
+        F.date_add("date", 1).alias(day), (F.col("rank") - (n - 1)).alias("rank")
     )
+    opened = calendar.filter("open").select("rank", F.col("date").alias("PreviousBusinessDay"))
+    return asked.join(before, day).join(opened, "rank").select(day, "PreviousBusinessDay")
 
 
 def nth_previous_business_day(
@@ -45,4 +64,6 @@ def nth_previous_business_day(
 ) -> Column:
     """The n-th business day before ``day`` as a scalar subquery column."""
     start = spark.range(1).select(F.lit(day).alias("day"))
-    return previous_business_days(start, "day", n, holidays).select("PreviousBusinessDay").scalar()
+    calendar = _numbered(start, "day", n, holidays)
+    last = calendar.agg(F.max("rank")).scalar()
+    return calendar.filter(F.col("open") & (F.col("rank") == last - (n - 1))).select("date").scalar()

@@ -1,7 +1,8 @@
 """Checks on the payment and bill tables.
 
-Each check collapses map-side to the grain it reports on before it compares,
-and none forms pairs of rows inside a loan.
+A check that compares rows of a loan collapses them map-side first, and none forms
+pairs of rows inside a loan. ``date_mismatch`` reports rows: a payment meets the bill of
+its number.
 """
 
 from __future__ import annotations
@@ -69,8 +70,9 @@ def payment_off_statement(pay: DataFrame, bill: DataFrame) -> DataFrame:
 
     Follows NOT IN: a payment of a loan without bills is listed; otherwise an
     unknown payment date, or an unknown date among the loan's bills, makes the
-    answer unknown and the payment is not listed. The question is settled once
-    per loan and day, and the payments then follow by equality on both.
+    answer unknown and the payment is not listed. A payment without a loan has no
+    bills. The question is settled once per loan and day, and the payments then
+    follow by equality on both.
     """
     bill_days = bill.select("LoanID", "PaymentDate").distinct()
     # Any bill of the loan answers for a payment without a date.
@@ -80,14 +82,19 @@ def payment_off_statement(pay: DataFrame, bill: DataFrame) -> DataFrame:
     listed = _matched(days, bill_days.unionByName(billed), "left_anti").join(
         unknown, "LoanID", "left_anti"
     )
-    return _matched(pay.select("LoanID", "MonthNumber", "PaymentDate"), listed, "left_semi")
+    payments = pay.select("LoanID", "MonthNumber", "PaymentDate")
+    return _matched(payments, listed, "left_semi", unknown_loan=True)
 
 
-def _matched(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join on loan and day, where an unknown day equals itself."""
+def _matched(rows: DataFrame, days: DataFrame, how: str, unknown_loan: bool = False) -> DataFrame:
+    """Semi or anti join on loan and day, where an unknown day equals itself.
+
+    ``unknown_loan`` says whether an unknown loan does too.
+    """
     days = days.select(F.col("LoanID").alias("_loan"), F.col("PaymentDate").alias("_day"))
-    same = (F.col("LoanID") == F.col("_loan")) & F.col("PaymentDate").eqNullSafe(F.col("_day"))
-    return rows.join(days, same, how)
+    loan = F.col("LoanID")
+    same_loan = loan.eqNullSafe(F.col("_loan")) if unknown_loan else loan == F.col("_loan")
+    return rows.join(days, same_loan & F.col("PaymentDate").eqNullSafe(F.col("_day")), how)
 
 
 def length_mismatch(pay: DataFrame, bill: DataFrame) -> DataFrame:

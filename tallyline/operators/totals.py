@@ -48,24 +48,28 @@ def contiguous_totals(rows: DataFrame, number: str, amounts: dict[str, str]) ->
     The chain ends at the first missing number, and rows after it are left out;
     a loan without number 1 has no chain. From the first NULL amount on the
     total is NULL. ``amounts`` maps result names to amount columns. A number
-    that occurs twice in a loan is an error.
+    that occurs twice is an error if the chain reaches it, and not beyond its end.
     """
-    totals: dict[str, Column] = {"_position": F.lit(1)}
+    # Equal numbers share a block and stand next to each other in it; the first counts.
+    previous = F.lag(number).over(Window.partitionBy("LoanID", "_block").orderBy(number))
+    totals: dict[str, Column] = {"_position": F.col("_new")}
     for name, amount in amounts.items():
         totals[name] = F.col(amount)
         totals[f"_unknown_{name}"] = F.col(amount).isNull().cast("int")
-    blocked = rows.filter(F.col(number) >= 1).withColumn("_block", number_block(number))
+    blocked = (
+        rows.filter(F.col(number) >= 1)
+        .withColumn("_block", number_block(number))
+        .withColumn("_new", F.when(previous == F.col(number), 0).otherwise(1))
+    )
     scanned = running_totals(blocked, totals, order=[number], block=F.col("_block"))
-
-    # Equal numbers share a block and stand next to each other in it.
-    previous = F.lag(number).over(Window.partitionBy("LoanID", "_block").orderBy(number))
+    reached = F.col("_position") == F.col(number)
     once = F.assert_true(
-        F.coalesce(previous < F.col(number), F.lit(True)),
+        ~reached | (F.col("_new") == 1),
         F.concat(F.lit(f"{number} occurs twice in loan "), F.col("LoanID")),
     )
     return (
         scanned.withColumn("_once", once)
-        .filter(F.col("_once").isNull() & (F.col("_position") == F.col(number)))
+        .filter(F.col("_once").isNull() & reached)
         .select(
             *rows.columns,
             *[
@@ -86,14 +90,15 @@ def bill_chain_totals(bill: DataFrame) -> DataFrame:
 
 
 def payment_running_totals(pay: DataFrame) -> DataFrame:
-    """Payment totals along the unbroken months from 1, one row per month."""
-    months = pay.select(
-        "LoanID",
-        "MonthNumber",
-        "PaymentDate",
-        "EffectiveDate",
-        F.col("AmountPrincipal").cast("decimal(10,2)").alias("AmountPrincipal"),
-        F.col("AmountInterest").cast("decimal(10,2)").alias("AmountInterest"),
+    """Payment totals along the unbroken months from 1, one row per month.
+
+    The payments of a month are added up first, under its earliest payment and latest
+    effective date, so the totals stand on a key that the payment table does not have.
+    """
+    months = pay.groupBy("LoanID", "MonthNumber").agg(
+        F.min("PaymentDate").alias("PaymentDate"),
+        F.max("EffectiveDate").alias("EffectiveDate"),
+        *[F.sum(a).cast(MONEY).alias(a) for a in ("AmountPrincipal", "AmountInterest")],
     )
     return contiguous_totals(
         months,

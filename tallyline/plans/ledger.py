@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
 from tallyline.operators.align import align_payments_to_statements
+from tallyline.operators.scans import SPAN, number_block, running_totals
 from tallyline.operators.terms import with_terms
 from tallyline.sources.contracts import MONEY
 
@@ -17,41 +18,59 @@ from tallyline.sources.contracts import MONEY
 ORDER = ("MonthNumber", "PaymentDate", "EffectiveDate", "Status")
 
 
-def _cumulated(aligned: DataFrame) -> DataFrame:
+_PAST_DUE_COUNT = "NumberOfStatementPastDue"
+
+
+def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
     """Add the seven running totals to aligned payments.
 
-    The window is by loan. Its rows were collapsed to statement and status, and
-    before that to day and status, so a loan brings at most one row per day and
-    status whatever its share of the payment table.
+    A loan brings one row per statement and status. While no loan has as many statements as
+    a block holds, which a scan of the bill numbers tells, one window by loan does; otherwise
+    the totals run in blocks of statements, so that a loan of many is several tasks' work.
+    Blocks take the aligned payments twice; with ``spark.checkpoint.dir`` set they are
+    written there once and not worked out again.
     """
     status = F.col("Status")
-    so_far = (
-        Window.partitionBy("LoanID")
-        .orderBy(*ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-    def total(value: Column, type_: str = MONEY) -> Column:
-        return F.sum(value).over(so_far).cast(type_)
-
-    return aligned.select(
-        "*",
-        total(c.amount_if(status != c.POSTED, "AmountPrincipal")).alias("PrincipalDue"),
-        total(c.amount_if(status != c.POSTED, "AmountInterest")).alias("InterestDue"),
-        total(c.amount_if(status == c.POSTED, "AmountPrincipal")).alias("PrincipalReceivedToDate"),
-        total(c.amount_if(status == c.POSTED, "AmountInterest")).alias("InterestReceivedToDate"),
-        total(F.col("AmountPrincipal")).alias("ScheduledPrincipalReceivedToDate"),
-        total(F.col("AmountInterest")).alias("ScheduledInterestReceivedToDate"),
-        total(F.when(status == c.PAST_DUE, 1).otherwise(0), "bigint").alias(
-            "NumberOfStatementPastDue"
-        ),
+    totals = {
+        "PrincipalDue": c.amount_if(status != c.POSTED, "AmountPrincipal"),
+        "InterestDue": c.amount_if(status != c.POSTED, "AmountInterest"),
+        "PrincipalReceivedToDate": c.amount_if(status == c.POSTED, "AmountPrincipal"),
+        "InterestReceivedToDate": c.amount_if(status == c.POSTED, "AmountInterest"),
+        "ScheduledPrincipalReceivedToDate": F.col("AmountPrincipal"),
+        "ScheduledInterestReceivedToDate": F.col("AmountInterest"),
+        _PAST_DUE_COUNT: F.when(status == c.PAST_DUE, 1).otherwise(0),
+    }
+    if bill.filter(F.col("PaymentNumber") >= SPAN).isEmpty():
+        so_far = (
+            Window.partitionBy("LoanID")
+            .orderBy(*ORDER)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        rows = aligned.select(
+            "*", *[F.sum(value).over(so_far).alias(name) for name, value in totals.items()]
+        )
+    else:
+        if aligned.sparkSession.conf.get("spark.checkpoint.dir", None):
+            aligned = aligned.checkpoint()
+        rows = running_totals(aligned, totals, list(ORDER), number_block("MonthNumber"))
+    return rows.select(
+        *aligned.columns,
+        *[
+            F.col(name).cast("bigint" if name == _PAST_DUE_COUNT else MONEY).alias(name)
+            for name in totals
+        ],
     )
 
 
 def _ledger(
-    aligned: DataFrame, loan: DataFrame, cb: DataFrame, principal: Column, interest: Column
+    aligned: DataFrame,
+    bill: DataFrame,
+    loan: DataFrame,
+    cb: DataFrame,
+    principal: Column,
+    interest: Column,
 ) -> DataFrame:
-    entries = _cumulated(aligned).select(
+    entries = _cumulated(aligned, bill).select(
         "LoanID",
         "MonthNumber",
         F.col("PaymentDate").alias("StatementDueDate"),
@@ -99,9 +118,8 @@ def cumulative_ledger(
     aligned = align_payments_to_statements(pay, bill).filter(
         F.col("PaymentDate") < F.lit(c.as_of_cut(as_of))
     )
-    ledger = _ledger(
-        aligned, loan, cb, c.shown_amount("AmountPrincipal"), c.shown_amount("AmountInterest")
-    )
+    principal, interest = c.shown_amount("AmountPrincipal"), c.shown_amount("AmountInterest")
+    ledger = _ledger(aligned, bill, loan, cb, principal, interest)
     return _sorted(ledger) if ordered else ledger
 
 
@@ -122,7 +140,7 @@ def analysis_ledger(
         pay = pay.filter(F.col("LoanID") == loan_id)
         bill = bill.filter(F.col("LoanID") == loan_id)
     aligned = align_payments_to_statements(pay, bill)
-    ledger = _ledger(aligned, loan, cb, F.col("AmountPrincipal"), F.col("AmountInterest"))
+    ledger = _ledger(aligned, bill, loan, cb, F.col("AmountPrincipal"), F.col("AmountInterest"))
     return _sorted(ledger) if ordered else ledger
 
 

@@ -6,6 +6,8 @@ avoids, so that agreement says something.
 
 from __future__ import annotations
 
+from tallyline.plans import registry
+
 # The analogue inputs. Each may use the ones before it.
 _INPUTS = {
     "numbered": """
@@ -258,8 +260,42 @@ def _chain(source: str, number: str, kept: str, principal: str, interest: str) -
     )
 
 
+_ACTIVITY = """
+    select cast(o_custkey as varchar) as LoanID, cast(o_orderdate as date) as ActivityDate,
+           o_orderkey as ActivityID, o_orderpriority as ActivityType
+    from orders order by LoanID, ActivityDate desc"""
+
+
+def _one_loan(sql: str) -> str:
+    return f"select * from ({sql}) where LoanID = '{registry.LOAN}'"
+
+
+# What other shapes of the inputs change in them.
+_SHAPES = {
+    "large_loans": {
+        "cast(o_custkey as varchar) as LoanID": "cast(o_custkey % 2 as varchar) as LoanID",
+        "partition by o_custkey": "partition by o_custkey % 2",
+    },
+    "disordered_bills": {
+        "order by cast(o_orderdate as date), o_orderkey": "order by o_orderkey",
+    },
+    "unknown_values": {
+        "cast(l_shipdate as date) as PaymentDate":
+            "case when l_partkey % 11 <> 0 then cast(l_shipdate as date) end as PaymentDate",
+        "case l_returnflag when 'A'":
+            "case case when l_partkey % 7 <> 0 then l_returnflag end when 'A'",
+    },
+}
+
+
+def _shaped(sql: str, shape: str) -> str:
+    for was, now in _SHAPES[shape].items():
+        sql = " ".join(sql.split()).replace(was, now)
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "next_bill_date": _with(
             """select b.*, cast(e as varchar) as PaymentDateNext
                from bill b join period p
@@ -398,11 +434,18 @@ def oracle_sql() -> dict[str, str]:
                       as PrincipalWaived
                from pay group by LoanID"""
         ),
-        "loan_detail_bill": _with("select * from bill"),
-        "loan_detail_pay": _with("select * from pay"),
-        "newest_activity": """
-            select cast(o_custkey as varchar) as LoanID,
-                   cast(o_orderdate as date) as ActivityDate, o_orderkey as ActivityID,
-                   o_orderpriority as ActivityType
-            from orders order by LoanID, ActivityDate desc""",
+        "ledger_of_one_loan": _one_loan(_ledger("aligned", "true")),
+        "loan_detail_bill": _one_loan(_with("select * from bill")),
+        "loan_detail_pay": _one_loan(_with("select * from pay")),
+        "newest_activity": _ACTIVITY,
+        "newest_activity_of_one_loan": _one_loan(_ACTIVITY),
     }
+    for name in (
+        "align_payments_to_statements",
+        "cumulative_ledger_as_of",
+        "bill_running_totals",
+        "dq_payment_off_statement",
+        "dq_non_increasing_bills",
+    ):
+        found |= {f"{name}_{shape}": _shaped(found[name], shape) for shape in _SHAPES}
+    return {name: sql for name, sql in found.items() if name in registry.queries()}

@@ -19,19 +19,40 @@ from tallyline.sources.analogue import AS_OF, Analogue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_QUERIES: dict[str, Callable[[Analogue], DataFrame]] = {}
+# A loan that every scale factor has, for the lookups.
+LOAN = "7"
+
+# Inputs of another shape for the queries whose names end so.
+SHAPES = {
+    "large_loans": {"loans": 2},
+    "disordered_bills": {"by_key": True},
+    "unknown_values": {"unknown": True},
+}
+
+_QUERIES: dict[str, tuple[Callable[[Analogue], DataFrame], dict]] = {}
 
 
 def _query(function: Callable[[Analogue], DataFrame]) -> Callable[[Analogue], DataFrame]:
-    _QUERIES[function.__name__] = function
+    _QUERIES[function.__name__] = function, {}
     return function
 
 
+def _also(*shapes: str) -> Callable:
+    """Register the query over inputs of other shapes too."""
+
+    def register(function: Callable[[Analogue], DataFrame]) -> Callable[[Analogue], DataFrame]:
+        for shape in shapes:
+            _QUERIES[f"{function.__name__}_{shape}"] = function, SHAPES[shape]
+        return function
+
+    return register
+
+
 def queries() -> dict[str, Query]:
-    def bound(function: Callable[[Analogue], DataFrame]) -> Query:
-        return lambda spark, sf_dir: function(Analogue(spark, sf_dir))
+    def bound(function: Callable[[Analogue], DataFrame], shape: dict) -> Query:
+        return lambda spark, sf_dir: function(Analogue(spark, sf_dir, **shape))
 
-    return {name: bound(function) for name, function in _QUERIES.items()}
+    return {name: bound(*query) for name, query in _QUERIES.items()}
 
 
 # Alignment
@@ -50,6 +71,7 @@ def interval_align_raw(a: Analogue) -> DataFrame:
     return align.align_rows(a.pay(), a.bill())
 
 
+@_also("large_loans", "disordered_bills", "unknown_values")
 @_query
 def align_payments_to_statements(a: Analogue) -> DataFrame:
     return align.align_payments_to_statements(a.pay(months=False), a.bill())
@@ -58,6 +80,7 @@ def align_payments_to_statements(a: Analogue) -> DataFrame:
 # Cumulative ledger
 
 
+@_also("large_loans", "disordered_bills", "unknown_values")
 @_query
 def cumulative_ledger_as_of(a: Analogue) -> DataFrame:
     return cumulative_ledger(a.pay(months=False), a.bill(), a.loan(), a.cb(), AS_OF)
@@ -68,6 +91,11 @@ def ledger_analysis(a: Analogue) -> DataFrame:
     return analysis_ledger(a.pay(months=False), a.bill(), a.loan(), a.cb())
 
 
+@_query
+def ledger_of_one_loan(a: Analogue) -> DataFrame:
+    return analysis_ledger(a.pay(months=False), a.bill(), a.loan(), a.cb(), loan_id=LOAN)
+
+
 @_query
 def ledger_masked_amounts(a: Analogue) -> DataFrame:
     return masked_amounts(a.pay(months=False), a.bill())
@@ -118,6 +146,7 @@ def nth_previous_business_day_of_bills(a: Analogue) -> DataFrame:
 # Running totals
 
 
+@_also("large_loans")
 @_query
 def bill_running_totals(a: Analogue) -> DataFrame:
     return totals.bill_running_totals(a.bill()).orderBy("LoanID", "PaymentNumber", "PaymentDate")
@@ -130,7 +159,7 @@ def bill_chain_totals(a: Analogue) -> DataFrame:
 
 @_query
 def payment_running_totals(a: Analogue) -> DataFrame:
-    return totals.payment_running_totals(a.monthly_pay()).orderBy("LoanID", "MonthNumber")
+    return totals.payment_running_totals(a.pay()).orderBy("LoanID", "MonthNumber")
 
 
 # Snapshot
@@ -219,6 +248,7 @@ def dq_date_mismatch(a: Analogue) -> DataFrame:
     )
 
 
+@_also("unknown_values")
 @_query
 def dq_payment_off_statement(a: Analogue) -> DataFrame:
     return quality.payment_off_statement(a.pay(), a.bill()).orderBy(
@@ -236,6 +266,7 @@ def dq_unaligned_payments(a: Analogue) -> DataFrame:
     return quality.unaligned_payments(a.pay(months=False), a.bill())
 
 
+@_also("disordered_bills")
 @_query
 def dq_non_increasing_bills(a: Analogue) -> DataFrame:
     return quality.non_increasing_bills(a.bill())
@@ -251,14 +282,19 @@ def waived_principal(a: Analogue) -> DataFrame:
 
 @_query
 def loan_detail_bill(a: Analogue) -> DataFrame:
-    return lookup.loan_detail(a.bill())
+    return lookup.loan_detail(a.bill(), LOAN)
 
 
 @_query
 def loan_detail_pay(a: Analogue) -> DataFrame:
-    return lookup.loan_detail(a.pay())
+    return lookup.loan_detail(a.pay(), LOAN)
 
 
 @_query
 def newest_activity(a: Analogue) -> DataFrame:
     return lookup.newest_activity(a.activity())
+
+
+@_query
+def newest_activity_of_one_loan(a: Analogue) -> DataFrame:
+    return lookup.newest_activity(a.activity(), LOAN)

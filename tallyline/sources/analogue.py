@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import running_totals
+from tallyline.operators.scans import SPAN, running_totals
 from tallyline.sources import contracts
 from tallyline.sources.contracts import Contract, conform
 
@@ -82,27 +82,53 @@ def _derived(rows: DataFrame, columns: dict[str, str], contract: Contract) -> Da
     return conform(named, contract, partial=True)
 
 
-class Analogue:
-    """The loan inputs of one scale-factor directory, each built on demand."""
+# Payments of which some lack a status or a date.
+_UNKNOWN = {
+    "PaymentDate": "case when l_partkey % 11 <> 0 then l_shipdate end",
+    "Status": f"case when l_partkey % 7 <> 0 then {_PAY['Status']} end",
+}
+
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+class Analogue:
+    """The loan inputs of one scale-factor directory, each built on demand.
+
+    ``loans`` deals the orders out to so many loans instead of to customers, so that each
+    is large. ``by_key`` numbers the bills by order key, so that dates do not rise with the
+    number. ``unknown`` leaves some statuses and payment dates out.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        loans: int | None = None,
+        by_key: bool = False,
+        unknown: bool = False,
+    ):
         self._spark = spark
         self._dir = sf_dir
+        self._loan = f"o_custkey % {loans}" if loans else "o_custkey"
+        self._by_key = by_key
+        self._payment = _PAY | (_UNKNOWN if unknown else {})
 
     def _table(self, name: str) -> DataFrame:
         return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
 
-    def _numbered_orders(self) -> DataFrame:
-        """Orders numbered by date within the customer, counted by month blocks."""
-        orders = self._table("orders").selectExpr(
-            "o_orderkey", "o_custkey", "o_totalprice", "cast(o_orderdate as date) as o_orderdate"
+    def _orders(self) -> DataFrame:
+        return self._table("orders").selectExpr(
+            "o_orderkey",
+            f"{self._loan} as o_custkey",
+            "o_totalprice",
+            "cast(o_orderdate as date) as o_orderdate",
         )
+
+    def _numbered_orders(self) -> DataFrame:
+        """Orders numbered within the loan, counted in blocks of a month or of order keys."""
+        by_date = ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month")
+        by_key = ["o_orderkey"], F.floor(F.col("o_orderkey") / F.lit(SPAN))
+        order, block = by_key if self._by_key else by_date
         return running_totals(
-            orders,
-            {"number": F.lit(1)},
-            order=["o_orderdate", "o_orderkey"],
-            block=F.trunc("o_orderdate", "month"),
-            key="o_custkey",
+            self._orders(), {"number": F.lit(1)}, order=order, block=block, key="o_custkey"
         )
 
     def _lines(self, orders: DataFrame) -> DataFrame:
@@ -115,23 +141,9 @@ class Analogue:
     def pay(self, months: bool = True) -> DataFrame:
         """Payments; ``months=False`` leaves out ``MonthNumber``."""
         if months:
-            return _derived(self._lines(self._numbered_orders()), _PAY, contracts.PAY)
-        columns = {name: value for name, value in _PAY.items() if name != "MonthNumber"}
-        return _derived(self._lines(self._table("orders")), columns, contracts.PAY)
-
-    def monthly_pay(self) -> DataFrame:
-        """Payments collapsed to one row per loan and month."""
-        rows = (
-            self.pay()
-            .groupBy("LoanID", "MonthNumber")
-            .agg(
-                F.min("PaymentDate").alias("PaymentDate"),
-                F.max("EffectiveDate").alias("EffectiveDate"),
-                F.sum("AmountPrincipal").alias("AmountPrincipal"),
-                F.sum("AmountInterest").alias("AmountInterest"),
-            )
-        )
-        return conform(rows, contracts.PAY, partial=True)
+            return _derived(self._lines(self._numbered_orders()), self._payment, contracts.PAY)
+        columns = {name: value for name, value in self._payment.items() if name != "MonthNumber"}
+        return _derived(self._lines(self._orders()), columns, contracts.PAY)
 
     def loan(self) -> DataFrame:
         return _derived(self._table("customer"), _LOAN, contracts.LOAN)
@@ -150,7 +162,7 @@ class Analogue:
 
     def waiver(self) -> DataFrame:
         columns = {"LoanID": "o_custkey", "PrincipalWaived": _WAIVED}
-        return _derived(self._lines(self._table("orders")), columns, contracts.WAIVER)
+        return _derived(self._lines(self._orders()), columns, contracts.WAIVER)
 
     def activity(self) -> DataFrame:
         return self._table("orders").selectExpr(

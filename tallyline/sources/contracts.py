@@ -56,6 +56,7 @@ CB: Contract = {"LoanID": "string", "AccountStatus": "string", "TermsDuration":
 PASTDUE: Contract = {"LoanID": "string", "PastDueDate": "date"}
 WAIVER: Contract = {"LoanID": "string", "PrincipalWaived": "decimal(12,2)"}
 HOLIDAY: Contract = {"HolidayDate": "date"}
+ACTIVITY: Contract = {"LoanID": "string", "ActivityDate": "date"}
 
 CONTRACTS = {
     "bill": BILL,
@@ -66,8 +67,12 @@ CONTRACTS = {
     "pastdue": PASTDUE,
     "waiver": WAIVER,
     "holiday": HOLIDAY,
+    "activity": ACTIVITY,
 }
 
+# Inputs that keep the columns their contract does not name.
+OPEN = {"activity"}
+
 # The source compares codes without regard to case or trailing blanks.
 _LOWER_CODES = {"Status"}
 _UPPER_CODES = {"AccountStatus", "U_PortMoveCode"}
@@ -82,19 +87,24 @@ def _conformed(name: str, type_: str) -> str:
     return f"{value} as {name}"
 
 
-def conform(df: DataFrame, contract: Contract, partial: bool = False) -> DataFrame:
+def conform(
+    df: DataFrame, contract: Contract, partial: bool = False, others: bool = False
+) -> DataFrame:
     """Select, cast and normalise the contract's columns.
 
-    ``partial`` leaves out contract columns that ``df`` lacks. Casts are ANSI
-    casts: a value that does not fit is an error, not a NULL.
+    ``partial`` leaves out contract columns that ``df`` lacks, and ``others`` keeps the
+    columns that the contract does not name. Casts are ANSI casts: a value that does not
+    fit is an error, not a NULL.
     """
     present = {c.lower() for c in df.columns}
+    named = {name.lower() for name in contract}
     return df.selectExpr(
         *[
             _conformed(name, type_)
             for name, type_ in contract.items()
             if not partial or name.lower() in present
-        ]
+        ],
+        *[f"`{c}`" for c in df.columns if others and c.lower() not in named],
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.sources.contracts import CONTRACTS, conform
+from tallyline.sources.contracts import CONTRACTS, OPEN, conform
 
 
 def read_path(spark: SparkSession, name: str, path: str, format: str = "parquet") -> DataFrame:
@@ -19,18 +19,12 @@ def read_path(spark: SparkSession, name: str, path: str, format: str = "parquet"
         reader = reader.schema(", ".join(f"{column} {type_}" for column, type_ in contract.items()))
     if format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    return conform(reader.load(path), contract)
+    return conform(reader.load(path), contract, others=name in OPEN)
 
 
 def read_table(spark: SparkSession, name: str, table: str) -> DataFrame:
     """Input ``name`` from a table or view, also of another catalog or database."""
-    return conform(spark.table(table), CONTRACTS[name])
-
-
-def as_view(df: DataFrame, view: str) -> DataFrame:
-    """Name ``df`` for SQL in this session, in place of any earlier holder."""
-    df.createOrReplaceTempView(view)
-    return df
+    return conform(spark.table(table), CONTRACTS[name], others=name in OPEN)
 
 
 def save_new(df: DataFrame, table: str) -> None:

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from conftest import as_set
 
+from tallyline.functions import columns
 from tallyline.plans.ledger import analysis_ledger, cumulative_ledger, masked_amounts
 
 BILLS = [
@@ -147,6 +148,27 @@ def test_only_one_of_credit_and_loan_known(table, terms):
     assert {(r.Tier, r.Term) for r in rows.collect()} == {(None, 36)}
 
 
+class Clock(datetime):
+    @classmethod
+    def now(cls):
+        return cls(2020, 2, 2, 12)
+
+
+@pytest.mark.parametrize(("clock", "days"), [(Clock, 2), (datetime, 3)])
+def test_the_cut_is_now_by_default(table, terms, monkeypatch, clock, days):
+    """A statement counts by its earliest payment: those after the clock's day are left out."""
+    monkeypatch.setattr("tallyline.functions.columns.datetime", clock)
+    bills = [*BILLS, {"LoanID": "A", "PaymentNumber": 3, "PaymentDate": "2020-03-01"}]
+    pay = [payment(d, "posted", "1.00") for d in ("2020-01-02", "2020-02-02", "2020-03-02")]
+    assert ledger(table, terms, None, pay, bills).count() == days
+
+
+def test_the_day_is_today_by_default(monkeypatch):
+    monkeypatch.setattr("tallyline.functions.columns.datetime", Clock)
+    assert columns.day_of(None) == date(2020, 2, 2)
+    assert columns.as_of_cut(None) == date(2020, 2, 3)
+
+
 @pytest.mark.parametrize("name", ["loan", "cb"])
 def test_a_repeated_loan_is_an_error(table, terms, name):
     loan, cb = terms

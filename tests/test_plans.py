@@ -6,9 +6,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from tallyline.operators import align
 from tallyline.operators.lookup import loan_detail
+from tallyline.plans import registry
 from tallyline.plans.ledger import analysis_ledger, cumulative_ledger
 from tallyline.sources import tables
 from tallyline.sources.contracts import CONTRACTS
@@ -82,14 +82,20 @@ def ledger(inputs, **more):
     )
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.fixture
+def one_block(monkeypatch):
+    """Plans as for loans of fewer statements than a block holds."""
+    monkeypatch.setattr("tallyline.plans.ledger.SPAN", 1 << 30)
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_pairwise_joins_and_no_python(spark, sort_merge, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(registry.queries()[name](spark, SF_DIR))
     for node in ("CartesianProduct", "NestedLoopJoin", "Python", "Arrow"):
         assert node not in text
 
 
-def test_only_needed_columns_are_read(stored, sort_merge):
+def test_only_needed_columns_are_read(stored, sort_merge, one_block):
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan(ledger(stored)))
     pay = next(scan for scan in scans if "AmountPrincipal" in scan)
     assert "PrincipalWaived" not in pay and "MonthNumber" not in pay
@@ -97,7 +103,7 @@ def test_only_needed_columns_are_read(stored, sort_merge):
     assert "PrincipalPayment" not in bill
 
 
-def test_payments_shuffle_twice_and_collapsed_first(stored, sort_merge):
+def test_payments_shuffle_twice_and_collapsed_first(stored, sort_merge, one_block):
     text = plan(ledger(stored, ordered=False))
     by_day = r"Exchange hashpartitioning\(LoanID#\d+, PaymentDate#\d+, Status#\d+"
     assert len(re.findall(by_day, text)) == 1
@@ -142,7 +148,16 @@ def test_large_loan_spreads_over_blocks(stored, monkeypatch):
     assert followed[ordered[-1]].PaymentDateNext == date(9999, 12, 31)
 
 
-def test_bucketed_payments_and_terms_are_not_shuffled(spark, stored, sort_merge):
+def test_a_loan_of_many_statements_is_totalled_in_blocks(stored, sort_merge, monkeypatch):
+    blocked = ledger(stored, ordered=False)
+    windows = re.findall(r"Window \[sum[^\n]*windowspecdefinition\(([^\n]*?) ASC", plan(blocked))
+    assert all("_block" in w or "_of" in w for w in windows if "MonthNumber" in w)
+    rows = sorted(map(repr, blocked.collect()))
+    monkeypatch.setattr("tallyline.plans.ledger.SPAN", 1 << 30)
+    assert rows == sorted(map(repr, ledger(stored, ordered=False).collect()))
+
+
+def test_bucketed_payments_and_terms_are_not_shuffled(spark, stored, sort_merge, one_block):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     inputs = {}
     for name, frame in stored.items():

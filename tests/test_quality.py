@@ -96,6 +96,25 @@ def test_payment_off_statement_follows_not_in(spark, inputs):
     assert found == as_set(direct)
 
 
+@pytest.mark.parametrize("unknown", ["pay", "bill", "both"])
+def test_payment_off_statement_of_unknown_loans(spark, unknown):
+    pay = [("A", 1, "2020-01-02"), ("A", 2, "2020-01-01")]
+    bills = [("A", "2020-01-01")]
+    if unknown != "bill":
+        pay += [(None, 1, "2020-01-01"), (None, 1, None), (None, None, "2020-01-01")]
+    if unknown != "pay":
+        bills += [(None, "2020-01-01"), (None, None)]
+    p = spark.createDataFrame(pay, "LoanID string, MonthNumber int, PaymentDate string")
+    b = spark.createDataFrame(bills, "LoanID string, PaymentDate string")
+    p.createOrReplaceTempView("p")
+    b.createOrReplaceTempView("b")
+    direct = spark.sql(
+        """select LoanID, MonthNumber, PaymentDate from p where PaymentDate not in
+           (select PaymentDate from b where b.LoanID = p.LoanID)"""
+    )
+    assert as_set(quality.payment_off_statement(p, b)) == as_set(direct)
+
+
 def test_length_mismatch(inputs):
     assert as_set(quality.length_mismatch(*inputs)) == [("B", 2, 3), ("C", 1, 2)]
 

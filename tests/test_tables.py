@@ -55,7 +55,16 @@ def test_tables_of_other_databases(spark, pay):
     assert spark.table("elsewhere.pay_copy").count() == 2 * len(ROWS)
 
 
-def test_views_are_replaced(spark, pay):
-    tables.as_view(pay, "current_pay")
-    tables.as_view(pay.filter("LoanID = 'A'"), "current_pay")
+def test_views_are_read_like_tables(spark, pay):
+    pay.createOrReplaceTempView("current_pay")
+    pay.filter("LoanID = 'A'").createOrReplaceTempView("current_pay")
     assert tables.read_table(spark, "pay", "current_pay").count() == 1
+
+
+def test_activity_of_another_database_keeps_its_columns(spark):
+    spark.sql("create database if not exists elsewhere")
+    rows = spark.sql("select 7 as loanid, '2020-01-05' as ActivityDate, 'call' as Kind, 3 as Agent")
+    rows.write.mode("overwrite").saveAsTable("elsewhere.activity")
+    activity = tables.read_table(spark, "activity", "elsewhere.activity")
+    assert activity.columns == ["LoanID", "ActivityDate", "Kind", "Agent"]
+    assert as_set(activity) == [("7", "2020-01-05", "call", 3)]

@@ -61,12 +61,21 @@ def test_chain_total_is_unknown_from_the_first_unknown_amount(table):
     ]
 
 
-def test_chain_refuses_a_repeated_number(table):
-    rows = table("bill", [bill(1), bill(3), bill(3)])
+@pytest.mark.parametrize("numbers", [(1, 1), (1, 2, 2), (1, 2, 2, 3)])
+def test_chain_refuses_a_repeated_number(table, numbers):
+    rows = table("bill", [bill(n) for n in numbers])
     with pytest.raises(Exception, match="PaymentNumber occurs twice in loan A"):
         totals.bill_chain_totals(rows).collect()
 
 
+@pytest.mark.parametrize(
+    ("numbers", "chain"), [((1, 2, 5, 5), [1, 2]), ((3, 3), []), ((2, 2), []), ((1, 3, 3), [1])]
+)
+def test_chain_ends_before_repeated_numbers_it_does_not_reach(table, numbers, chain):
+    rows = table("bill", [bill(n) for n in numbers])
+    assert [r[0] for r in as_set(totals.bill_chain_totals(rows), "PaymentNumber")] == chain
+
+
 def test_chain_equals_running_totals_without_gaps(table):
     rng = random.Random(5)
     rows = [
@@ -83,13 +92,13 @@ def test_chain_equals_running_totals_without_gaps(table):
 def test_payment_chain(table):
     pay = [
         {"LoanID": "A", "MonthNumber": n, "AmountPrincipal": "2.00", "AmountInterest": "0.50"}
-        for n in (1, 2, 3, 5)
+        for n in (1, 2, 3, 3, 5, 5)
     ]
     result = totals.payment_running_totals(table("pay", pay))
     assert as_set(result, "MonthNumber", "SumPrincipal", "SumInterest") == [
         (1, "2.00", "0.50"),
         (2, "4.00", "1.00"),
-        (3, "6.00", "1.50"),
+        (3, "8.00", "2.00"),
     ]
 
 

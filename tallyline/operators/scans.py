@@ -26,29 +26,45 @@ def number_block(number: str) -> Column:
     return F.greatest(F.floor(F.col(number) / F.lit(SPAN)), F.lit(0)).cast("int")
 
 
+def block_of(source: DataFrame, number: str) -> Column | None:
+    """The block of a number, or None while every number of ``source`` is in the first.
+
+    Runs a scan for numbers beyond the first block. Over stored inputs the filter reaches the
+    files, whose statistics answer it for ordinary loans.
+    """
+    return None if source.filter(F.col(number) >= SPAN).isEmpty() else number_block(number)
+
+
 def running_totals(
     rows: DataFrame,
     totals: dict[str, Column],
     order: list[str],
-    block: Column,
+    block: Column | None,
     frame: str = ROWS,
     key: str = "LoanID",
 ) -> DataFrame:
     """Add one running sum per entry of ``totals``, in ``order`` within ``key``.
 
-    ``block`` must not decrease along ``order``. RANGE and BEFORE take a single
-    integer sort column. A sum over no non-NULL value is NULL.
+    ``block`` must not decrease along ``order``; without one, the input is read once and a key
+    is one window. RANGE and BEFORE take a single integer sort column. A sum over no non-NULL
+    value is NULL.
     """
+
+    def summed(given: DataFrame, *by: str) -> DataFrame:
+        within = Window.partitionBy(*by).orderBy(*order)
+        within = {
+            ROWS: within.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+            RANGE: within.rangeBetween(Window.unboundedPreceding, Window.currentRow),
+            BEFORE: within.rangeBetween(Window.unboundedPreceding, -1),
+        }[frame]
+        return given.select(
+            "*", *[F.sum(value).over(within).alias(name) for name, value in totals.items()]
+        )
+
+    if block is None:
+        return summed(rows, key)
     blocked = rows.withColumn("_block", block)
-    within = Window.partitionBy(key, "_block").orderBy(*order)
-    within = {
-        ROWS: within.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-        RANGE: within.rangeBetween(Window.unboundedPreceding, Window.currentRow),
-        BEFORE: within.rangeBetween(Window.unboundedPreceding, -1),
-    }[frame]
-    local = blocked.select(
-        "*", *[F.sum(value).over(within).alias(name) for name, value in totals.items()]
-    )
+    local = summed(blocked, key, "_block")
 
     blocks = Window.partitionBy(key).orderBy("_block")
     earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)

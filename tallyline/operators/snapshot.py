@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
-from tallyline.operators.scans import RANGE, number_block, running_totals
+from tallyline.operators.scans import RANGE, block_of, running_totals
 from tallyline.operators.totals import billed_before
 from tallyline.sources.contracts import MONEY
 
@@ -104,7 +104,7 @@ def totals_by_month(pay: DataFrame) -> DataFrame:
         ),
         {name: F.col(f"_{name}") for name in measures},
         order=["MonthNumber"],
-        block=number_block("MonthNumber"),
+        block=block_of(pay, "MonthNumber"),
         frame=RANGE,
     )
     return totals.select("LoanID", "MonthNumber", *measures)
@@ -217,22 +217,33 @@ def loan_measures(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None
         .groupBy("LoanID")
         .agg(*[F.sum(name).alias(name) for name in BILLED])
     )
+    # The days of the statements, and the day of ``as_of`` with none: its row has the last month.
+    days = F.array(
+        F.struct(F.col("PaymentDate").alias("day"), F.lit(1).alias("n")),
+        F.struct(F.lit(c.day_of(as_of)).alias("day"), F.lit(0).alias("n")),
+    )
     per_day = (
         due_statements(bill, as_of)
-        .groupBy("LoanID", "PaymentDate")
-        .agg(F.count(F.lit(1)).alias("_statements"))
+        .select("LoanID", F.explode(days).alias("_day"))
+        .groupBy("LoanID", F.col("_day.day").alias("PaymentDate"))
+        .agg(F.sum("_day.n").alias("_statements"))
     )
     received = (
         totals_by_bill_day(pay, per_day)
         .join(per_day, ["LoanID", "PaymentDate"])
         .groupBy("LoanID")
         .agg(
+            F.max("MonthNumber").alias("MonthNumber"),
             F.sum("_statements").alias("_statements"),
-            *[F.sum(F.col(name) * F.col("_statements")).alias(name) for name in RECEIVED],
+            *[
+                F.sum(F.when(F.col("_statements") > 0, F.col(name) * F.col("_statements"))).alias(name)
+                for name in RECEIVED
+            ],
         )
     )
-    due = last_months(pay, as_of).join(totals_by_month(pay), ["LoanID", "MonthNumber"])
-    loans = received.join(billed, "LoanID").join(due, "LoanID", "left")
+    loans = received.join(billed, "LoanID").join(
+        totals_by_month(pay), ["LoanID", "MonthNumber"], "left"
+    )
     repeated = [
         (F.col(name) * F.col("_statements")).alias(name) for name in (*DUE, PAST_DUE_COUNT)
     ]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
 from tallyline.operators.align import align_payments_to_statements
-from tallyline.operators.scans import SPAN, number_block, running_totals
+from tallyline.operators.scans import block_of, running_totals
 from tallyline.operators.terms import with_terms
 from tallyline.sources.contracts import MONEY
 
@@ -25,8 +25,8 @@ def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
     """Add the seven running totals to aligned payments.
 
     A loan brings one row per statement and status. While no loan has as many statements as
-    a block holds, which a scan of the bill numbers tells, one window by loan does; otherwise
-    the totals run in blocks of statements, so that a loan of many is several tasks' work.
+    a block holds, one window by loan does; otherwise the totals run in blocks of statements, so
+    that a loan of many is several tasks' work.
     Blocks take the aligned payments twice; with ``spark.checkpoint.dir`` set they are
     written there once and not worked out again.
     """
@@ -40,19 +40,11 @@ def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
         "ScheduledInterestReceivedToDate": F.col("AmountInterest"),
         _PAST_DUE_COUNT: F.when(status == c.PAST_DUE, 1).otherwise(0),
     }
-    if bill.filter(F.col("PaymentNumber") >= SPAN).isEmpty():
-        so_far = (
-            Window.partitionBy("LoanID")
-            .orderBy(*ORDER)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        rows = aligned.select(
-            "*", *[F.sum(value).over(so_far).alias(name) for name, value in totals.items()]
-        )
-    else:
-        if aligned.sparkSession.conf.get("spark.checkpoint.dir", None):
-            aligned = aligned.checkpoint()
-        rows = running_totals(aligned, totals, list(ORDER), number_block("MonthNumber"))
+    numbers = bill.select(F.col("PaymentNumber").alias("MonthNumber"))
+    block = block_of(numbers, "MonthNumber")
+    if block is not None and aligned.sparkSession.conf.get("spark.checkpoint.dir", None):
+        aligned = aligned.checkpoint()
+    rows = running_totals(aligned, totals, list(ORDER), block)
     return rows.select(
         *aligned.columns,
         *[

@@ -12,6 +12,9 @@ group once per chunk. Groups of windows go to blocks of hashes, whose number fol
 windows. The sketch has a fixed largest size; past it more windows pass to the second pass, and the
 result is the same.
 
+Only documents that lose a window are shuffled to meet its place. Which may be among them is told by
+a sketch of their ids, of a fixed largest size too; the others are finished where they are read.
+
 A NULL or blank text has no words. A row with a NULL id stays as it is and does not count as
 earlier. Rows are told apart by id and text; repeated rows are not earlier than each other.
 """
@@ -26,16 +29,19 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import as_bytes, ship
+from tallyline.llm.common import as_bytes, ship, stored
 
 WINDOW = 13
 # Windows that are counted and settled together.
 CHUNK = 1 << 21
 # Cells of a row of the sketch, at most: two rows of so many bits are broadcast.
 MOST_CELLS = 1 << 28
+# Cells of a row of the sketch of ids, at most.
+MOST_IDS = 1 << 26
 # Cells that are merged by one task.
 CELL_BLOCK = 1 << 22
 # Windows per block of the second pass.
@@ -43,6 +49,7 @@ HASH_BLOCK = 1 << 21
 _SEED = 42
 
 _CELLS = "line int, block int, once binary, again binary"
+_BITS = "line int, block int, bits binary"
 _FOUND = "block int, ids binary, texts binary, doc binary, start binary, high binary, low binary"
 _REMOVED = "doc_id long, text_hash long, starts binary"
 
@@ -78,6 +85,16 @@ def _cells(hashes: np.ndarray, line: int, bits: int) -> np.ndarray:
     return (hashes[:, line] >> np.uint64(64 - bits)).astype(np.uint32)
 
 
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v, kinds[kind]) for v, (_, kind) in zip(columns, fields, strict=True)],
+        names=[name for name, _ in fields],
+    )
+
+
 def _count(chunk: list[np.ndarray], bits: int) -> Iterator[tuple[int, int, bytes, bytes]]:
     hashes = np.concatenate(chunk)
     for line in range(2):
@@ -92,36 +109,43 @@ def _count(chunk: list[np.ndarray], bits: int) -> Iterator[tuple[int, int, bytes
                 yield line, block, pack_places(own), pack_places(own[counts[a:b] > 1])
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block of cells, as bits that say which were seen twice; rows come by block."""
+def merged(cells: DataFrame, bits: int, least: int) -> Sketch:
+    """The sketch of ``cells``, with a bit for each cell that was seen ``least`` times or more.
 
-    def row(key: tuple[int, int], seen: np.ndarray) -> pa.RecordBatch:
-        packed = zlib.compress(np.packbits(seen > 1, bitorder="little").tobytes(), 1)
-        values = [[key[0]], [key[1]], [packed]]
-        kinds = [pa.int32(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, k) for v, k in zip(values, kinds, strict=True)],
-            names=["line", "block", "bits"],
-        )
+    Cells come as ``_count`` makes them, by block; a block is merged row by row.
+    """
 
-    key, seen = None, np.empty(0)
-    for batch in batches:
-        for line, block, once, again in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if key != (line, block):
-                if key:
-                    yield row(key, seen)
-                key, seen = (line, block), np.zeros(CELL_BLOCK, dtype=np.uint8)
-            places = unpack_places(once)
-            seen[places] = np.minimum(seen[places] + 1, 2)
-            seen[unpack_places(again)] = 2
-    if key:
-        yield row(key, seen)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(key: tuple[int, int], seen: np.ndarray) -> pa.RecordBatch:
+            packed = zlib.compress(np.packbits(seen >= least, bitorder="little").tobytes(), 1)
+            return _batch(_BITS, [(*key, packed)])
 
+        key, seen = None, np.empty(0)
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for line, block, once, again in zip(*columns, strict=True):
+                if key != (line, block):
+                    if key:
+                        yield row(key, seen)
+                    key, seen = (line, block), np.zeros(CELL_BLOCK, dtype=np.uint8)
+                places = unpack_places(once)
+                seen[places] = np.minimum(seen[places] + 1, 2)
+                seen[unpack_places(again)] = 2
+        if key:
+            yield row(key, seen)
+
+    rows = (
+        cells.repartition("line", "block")
+        .sortWithinPartitions("line", "block")
+        .mapInArrow(merge, _BITS)
+        .collect()
+    )
+    return Sketch(bits, {(row.line, row.block): bytes(row.bits) for row in rows})
 
-def _bits(windows: int) -> int:
-    """The binary logarithm of the cells of a row: two for each window, within the limits."""
-    wanted = max(2 * windows, CELL_BLOCK)
-    return (min(wanted, MOST_CELLS) - 1).bit_length()
+
+def _bits(wanted: int, most: int) -> int:
+    """The binary logarithm of the cells of a row of a sketch."""
+    return (min(max(wanted, CELL_BLOCK), most) - 1).bit_length()
 
 
 class Sketch:
@@ -154,15 +178,6 @@ def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = list(_count(held, bits))
-            held.clear()
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["line", "block", "once", "again"],
-            )
-
         n = 0
         for batch in batches:
             for text in as_bytes(batch.column(0)):
@@ -170,19 +185,29 @@ def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -
                     held.append(window_hashes(text, size))
                     n += len(held[-1])
                     if n >= chunk:
-                        yield from flush()
+                        yield _batch(_CELLS, list(_count(held, bits)))
+                        held.clear()
                         n = 0
         if n:
-            yield from flush()
+            yield _batch(_CELLS, list(_count(held, bits)))
 
-    merged = (
-        texts.select("text")
-        .mapInArrow(sketched, _CELLS)
-        .repartition("line", "block")
-        .sortWithinPartitions("line", "block")
-        .mapInArrow(_merged, "line int, block int, bits binary")
-    )
-    return Sketch(bits, {(row.line, row.block): bytes(row.bits) for row in merged.collect()})
+    return merged(texts.select("text").mapInArrow(sketched, _CELLS), bits, 2)
+
+
+def known_cells(keys: DataFrame, bits: int) -> Sketch:
+    """The sketch of rows of two 64-bit numbers, with a bit for each cell that one of them has."""
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _batch(_CELLS, list(_count([_pairs(*batch.columns)], bits)))
+
+    return merged(keys.mapInArrow(sketched, _CELLS), bits, 1)
+
+
+def _pairs(*numbers: pa.Array) -> np.ndarray:
+    columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in numbers]
+    return np.stack(columns, axis=1).view(np.uint64)
 
 
 class _Chunk:
@@ -312,20 +337,14 @@ def removed_windows(
     ship(spark)
     # A guess at the number of windows, for sizes only: a word and its blank have six bytes or so.
     guess = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
-    bits = bits or _bits(guess)
+    bits = bits or _bits(2 * guess, MOST_CELLS)
     blocks = 1 << max(6, (guess // HASH_BLOCK).bit_length())
     sketch = spark.sparkContext.broadcast(repeated_cells(docs, bits, size, chunk))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int32(), *[pa.binary()] * 6]
-        names = [f.split()[0] for f in _FOUND.split(", ")]
-
         def flush(held: _Chunk) -> Iterator[pa.RecordBatch]:
             if rows := list(held.found(sketch.value, blocks)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    names=names,
-                )
+                yield _batch(_FOUND, rows)
 
         held = _Chunk()
         for batch in batches:
@@ -375,40 +394,79 @@ def without_repeats(
     the new names are replaced.
     """
     kept_type = "kept_sha256 string" if digest else "kept_text string"
-    new = {"n_words", "n_removed", "kept_text", "kept_sha256", "_starts", "_hash"}
-    columns = [c for c in docs.columns if c not in new and not (digest and c == text)]
+    new = {"n_words", "n_removed", "kept_text", "kept_sha256", "_starts", "_id", "text_hash", "_text"}
+    columns = [c for c in docs.columns if c not in new and c != text]
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    starts = (
+    starts = stored(
         removed_windows(given, size)
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list("starts").alias("_starts"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_starts")
-    )
-    joined = docs.select(*columns, *([text] if digest else [])).join(
-        starts,
-        (F.col(doc_id).cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_hash")),
-        "left",
+        .agg(F.collect_list("starts").alias("starts")),
+        "starts",
     )
+    # Two hashes of id and text, by which a document is looked up among those that lose a window.
+    own = [F.col(doc_id).cast("long"), F.xxhash64(text)]
+    lookup = [F.xxhash64(*own).alias("_a"), F.xxhash64(*own[::-1]).alias("_b")]
+    rows = docs.select(*columns, F.col(text).alias("_text"), *lookup)
+    sketch = _losing(starts)
+
+    def split(batch: pa.RecordBatch, losing: bool) -> pa.RecordBatch:
+        likely = sketch.value.likely(_pairs(*batch.columns[-2:]))
+        kept = batch.filter(pa.array(likely == losing))
+        return kept.select(range(batch.num_columns - 2))
+
+    def losing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield split(batch, True)
+
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema]
-        + ["n_words long", "n_removed long", kept_type]
+        + ["_text string", "n_words long", "n_removed long", kept_type]
     )
 
+    def told(batch: pa.RecordBatch, texts: pa.Array, marks: list[list[bytes]]) -> pa.RecordBatch:
+        n_words, n_removed, kept = [], [], []
+        for value, marked in zip(as_bytes(texts), marks, strict=True):
+            words, n = kept_words(value or b"", marked, size)
+            left = b" ".join(words)
+            n_words.append(n)
+            n_removed.append(n - len(words))
+            kept.append(hashlib.sha256(left).hexdigest() if digest else left.decode())
+        texts = pa.nulls(len(texts), pa.string()) if digest else texts
+        counts = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, texts, *counts, pa.array(kept, pa.string())],
+            names=[*batch.schema.names, "_text", "n_words", "n_removed", kept_type.split()[0]],
+        )
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = split(batch, False)
+            n = len(columns)
+            yield told(rest.select(range(n)), rest.column(n), [[]] * rest.num_rows)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_kept, kept = [], [], []
-            *own, texts, marks = batch.columns
-            for value, starts_ in zip(as_bytes(texts), marks.to_pylist(), strict=True):
-                words, n = kept_words(value or b"", starts_, size)
-                left = b" ".join(words)
-                n_words.append(n)
-                n_kept.append(n - len(words))
-                kept.append(hashlib.sha256(left).hexdigest() if digest else left.decode())
-            counts = [pa.array(n_words, pa.int64()), pa.array(n_kept, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [*own, *counts, pa.array(kept, pa.string())],
-                names=[*batch.schema.names[:-2], "n_words", "n_removed", kept_type.split()[0]],
-            )
-
-    marked = F.coalesce("_starts", F.array().cast("array<binary>")).alias("_starts")
-    return joined.select(*columns, F.col(text).alias("_text"), marked).mapInArrow(cut, schema)
+            n = len(columns)
+            marks = [m or [] for m in batch.column(n + 1).to_pylist()]
+            yield told(batch.select(range(n)), batch.column(n), marks)
+
+    text_kept = rows.drop("_a", "_b")
+    joined = rows.mapInArrow(losing, text_kept.schema).join(
+        starts.select(F.col("doc_id").alias("_id"), "text_hash", F.col("starts").alias("_starts")),
+        (F.col(doc_id).cast("long") == F.col("_id")) & (F.xxhash64("_text") == F.col("text_hash")),
+        "left",
+    )
+    shared = joined.select(*columns, "_text", "_starts").mapInArrow(cut, schema)
+    out = rows.mapInArrow(whole, schema).unionByName(shared)
+    if digest:
+        return out.drop("_text")
+    ordered = [c for c in docs.columns if c in columns or c == text]
+    out = out.withColumnRenamed("_text", text)
+    return out.select(*ordered, "n_words", "n_removed", "kept_text")
+
+
+def _losing(starts: DataFrame) -> Broadcast:
+    """A sketch of the documents in ``starts``, by two hashes of id and text."""
+    bits = _bits(16 * starts.count(), MOST_IDS)
+    keys = starts.select(F.xxhash64("doc_id", "text_hash"), F.xxhash64("text_hash", "doc_id"))
+    return starts.sparkSession.sparkContext.broadcast(known_cells(keys, bits))

@@ -141,26 +141,26 @@ _INPUTS = {
              on m.LoanID = b.LoanID""",
 }
 
-# Measures of the statements of a spine, grouped by {keys}.
+# Measures of the statements of a spine, grouped by {keys}: each a filtered aggregate over all
+# payments, or bills, of the loan.
+_NOT_POSTED = "p.Status <> 'posted' and p.MonthNumber <= b.MonthNumber"
+_POSTED = "p.Status = 'posted' and p.PaymentDate <= b.PaymentDate"
+_LATE = "p.Status = 'past_due' and p.MonthNumber <= b.MonthNumber"
+_LOWER = "p.PaymentNumber < b.PaymentNumber"
 _MEASURES = {
-    "due": """
-        select {keys}, sum(AmountPrincipal) as PrincipalDue, sum(AmountInterest) as InterestDue
-        from {spine} b join pay p on p.LoanID = b.LoanID and p.MonthNumber <= b.MonthNumber
-        where p.Status <> 'posted' group by {keys}""",
-    "received": """
-        select {keys}, sum(AmountPrincipal) as PrincipalReceivedToDate,
-               sum(AmountInterest) as InterestReceivedToDate
-        from {spine} b join pay p on p.LoanID = b.LoanID and p.PaymentDate <= b.PaymentDate
-        where p.Status = 'posted' group by {keys}""",
-    "scheduled": """
-        select {keys}, sum(PrincipalPayment) as ScheduledPrincipalReceivedToDate,
-               sum(InterestPayment) as ScheduledInterestReceivedToDate
-        from {spine} b join bill p on p.LoanID = b.LoanID and p.PaymentNumber < b.PaymentNumber
-        group by {keys}""",
-    "late": """
-        select {keys}, count(*) as NumberOfStatementsPastDue
-        from {spine} b join pay p on p.LoanID = b.LoanID and p.MonthNumber <= b.MonthNumber
-        where p.Status = 'past_due' group by {keys}""",
+    "paid": f"""
+        select {{keys}},
+               sum(AmountPrincipal) filter ({_NOT_POSTED}) as PrincipalDue,
+               sum(AmountInterest) filter ({_NOT_POSTED}) as InterestDue,
+               sum(AmountPrincipal) filter ({_POSTED}) as PrincipalReceivedToDate,
+               sum(AmountInterest) filter ({_POSTED}) as InterestReceivedToDate,
+               nullif(count(*) filter ({_LATE}), 0) as NumberOfStatementsPastDue
+        from {{spine}} b join pay p using (LoanID) group by {{keys}}""",
+    "scheduled": f"""
+        select {{keys}},
+               sum(p.PrincipalPayment) filter ({_LOWER}) as ScheduledPrincipalReceivedToDate,
+               sum(p.InterestPayment) filter ({_LOWER}) as ScheduledInterestReceivedToDate
+        from {{spine}} b join bill p using (LoanID) group by {{keys}}""",
 }
 
 
@@ -358,18 +358,18 @@ def oracle_sql() -> dict[str, str]:
             """select LoanID, PaymentNumber, MonthNumber,
                       cast(PrincipalDue as decimal(38,2)) as PrincipalDue,
                       cast(InterestDue as decimal(38,2)) as InterestDue
-               from spine left join due using (LoanID, PaymentNumber)"""
+               from spine left join paid using (LoanID, PaymentNumber)"""
         ),
         "past_due_count": _by_statement(
             """select LoanID, PaymentNumber, MonthNumber,
                       cast(NumberOfStatementsPastDue as bigint) as NumberOfStatementsPastDue
-               from spine left join late using (LoanID, PaymentNumber)"""
+               from spine left join paid using (LoanID, PaymentNumber)"""
         ),
         "received_to_date": _by_statement(
             """select LoanID, PaymentNumber, PaymentDate,
                       cast(PrincipalReceivedToDate as decimal(38,2)) as PrincipalReceivedToDate,
                       cast(InterestReceivedToDate as decimal(38,2)) as InterestReceivedToDate
-               from spine left join received using (LoanID, PaymentNumber)"""
+               from spine left join paid using (LoanID, PaymentNumber)"""
         ),
         "scheduled_before": _by_statement(
             """select LoanID, PaymentNumber, PaymentDate,

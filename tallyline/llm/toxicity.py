@@ -41,6 +41,8 @@ STEMS = (4, 5, 6)
 # What makes a term count: the G statistic of its table against the label, and how many times
 # more often toxic examples have it.
 MIN_G, MIN_LIFT = 20.0, 4.0
+# Terms that a task counts before it passes the counts on.
+HELD = 50_000
 NEIGHBOURS = 7
 BLOCK = 64
 # The weight in place of an idf for all words outside the vocabulary, taken as one term.
@@ -195,13 +197,20 @@ def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> list[
     """Terms that mark toxic examples, with their idf over the labelled rows."""
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, list[int]] = {}
+        counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+
+        def rows() -> pd.DataFrame:
+            found = [(t, counts[1][t], counts[0][t]) for t in counts[0].keys() | counts[1].keys()]
+            for held in counts:
+                held.clear()
+            return pd.DataFrame(found, columns=["term", "toxic", "other"])
+
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                for term in terms(text):
-                    counts.setdefault(term, [0, 0])[int(toxic)] += 1
-        rows = [(t, b, a) for t, (a, b) in counts.items()]
-        yield pd.DataFrame(rows, columns=["term", "toxic", "other"])
+                counts[int(toxic)].update(terms(text).keys())
+                if len(counts[0]) + len(counts[1]) > HELD:
+                    yield rows()
+        yield rows()
 
     have = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not have.get(0) or not have.get(1):

@@ -63,7 +63,7 @@ def preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     turns = stored(
         _turns(chosen, CHOSEN).unionByName(_turns(rejected, REJECTED)), "turns"
     )
-    split = stored(first_difference(turns), "split")
+    split = stored(first_difference(turns), "split", narrow=True)
     shared = F.col("split").isNull() | (F.col("turn") < F.col("split"))
     placed = turns.join(split, "pair_id").filter(~shared | (F.col("part") == CHOSEN))
     head = F.concat(F.lit(BEGIN), F.col("role"), F.lit(HEAD))

@@ -26,9 +26,19 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _shipped: set[str] = set()
 
+# Texts are long: batches to Python of the default size hold tens of megabytes each, in the JVM
+# outside its heap and again in the worker.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT, _SMALL = "67108864b", "4194304b"
+
 
 def ship(spark: SparkSession) -> None:
-    """Make this library importable in the Python workers, once per application."""
+    """Make this library importable in the Python workers, once per application.
+
+    Also lowers the size of batches in the session, if it is the default.
+    """
+    if spark.conf.get(_BATCH_BYTES, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH_BYTES, _SMALL)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -71,13 +81,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage, so a lost executor costs no recomputation, and is read column by column.
+    ``narrow`` is for rows of a few numbers: they make one file per core instead of one per
+    partition, since many small files cost more than they hold.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    rows = df.coalesce(df.sparkSession.sparkContext.defaultParallelism) if narrow else df
+    rows.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

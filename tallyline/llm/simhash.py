@@ -115,12 +115,13 @@ def links(fps: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
         .filter("n > 1"),
         "keys",
+        narrow=True,
     )
     pairs = shared.filter("n = 2").select("a", "b").distinct()
     # Merged at any size: a broadcast that only small inputs allow would hide a shuffle.
     crowded = shared.filter("n > 2").select("key").hint("merge")
     members = keyed.join(crowded, "key", "left_semi").select("fp").distinct()
-    ball = _ball_keys(stored(members, "members"))
+    ball = _ball_keys(stored(members, "members", narrow=True))
     least = ball.groupBy("key").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n"))
     stars = ball.join(least.filter("n > 1"), "key").select("a", F.col("fp").alias("b")).distinct()
     return pairs.unionByName(stars).filter((F.col("a") != F.col("b")) & (_differ("a", "b") <= MAX_BITS))
@@ -131,7 +132,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the smallest id among all that links reach."""
     fps = stored(fingerprints(docs, doc_id, text, size), "fingerprints")
-    first = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    first = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct", narrow=True)
     rooted = components(links(first.select("fp")), "a", "b").withColumnRenamed("node", "fp")
     smallest = rooted.join(first, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     classes = stored(
@@ -139,5 +140,6 @@ def near_duplicates(
             "fp", F.coalesce("component_id", "first").alias("component_id")
         ),
         "classes",
+        narrow=True,
     )
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")

@@ -125,7 +125,7 @@ def judged(
         segments_of(F.col(url)).alias("_segments"),
         F.to_date(F.col(fetched)).alias("_day"),
     )
-    valid = stored(intervals(entries), "intervals")
+    valid = stored(intervals(entries), "intervals", narrow=True)
     depth = F.size(F.split("value", "/")) - 1
     # No path is followed deeper than the deepest entry.
     deepest = valid.filter("kind = 'prefix'").agg(F.max(depth)).first()[0] or 0
@@ -138,7 +138,7 @@ def judged(
         .select(*place, "_key.kind", "_key.value")
     )
     wanted = asked.select("kind", "value", F.col("_day").alias("day")).distinct()
-    verdicts = stored(active(wanted, valid), "verdicts").withColumnRenamed("day", "_day")
+    verdicts = stored(active(wanted, valid), "verdicts", narrow=True).withColumnRenamed("day", "_day")
     covered = stored(
         asked.join(verdicts, ["kind", "value", "_day"])
         .groupBy(*place)

@@ -4,8 +4,9 @@ A stage takes all that the one before has kept and returns the columns of ``docu
 returns the packed pieces. Between stages the documents are written as Parquet and read again, so
 a lost executor costs no more than a part of one stage.
 
-Rows with a NULL id: toxicity and decontamination judge them like others; near-dedup keeps them only
-where nothing with an id is like them; substring dedup leaves them as they are.
+Rows with a NULL id: toxicity and decontamination judge them like others, near-dedup and substring
+dedup leave them as they are. Of rows that share an id near-dedup keeps the one of the least text.
+Further columns of the documents go through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,42 +22,55 @@ from tallyline.llm.common import documents, labels, remainder, stored
 CONTEXT = 4096
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """The documents with all but id and text in one column, out of the operators' way."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0), *others).alias("_others"))
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with ids and texts as they are now."""
+    now = [
+        F.col(c) if c in ("doc_id", "text") else F.col("_others").getField(c).alias(c)
+        for c in docs.columns
+    ]
+    return rows.select(*now)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by the labels outside the held-out fold."""
     known = labels(spark, sf_dir).filter(remainder("doc_id", 4) != 2)
     scorer = toxicity.fit(docs, known)
-    return toxicity.scored(docs, scorer).filter("predicted = 0").select(docs.columns)
+    return _restored(toxicity.scored(_carried(docs), scorer).filter("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates, once."""
     groups = simhash.near_duplicates(docs)
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    unnamed = groups.filter("component_id is null").limit(1).count()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if unnamed:
-        kept = kept.unionByName(docs.filter("doc_id is null"))
-    return kept.select(docs.columns)
+    once = (
+        _carried(docs)
+        .join(first, "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min_by(F.struct("text", "_others"), F.coalesce("text", F.lit(""))).alias("_row"))
+        .select("doc_id", "_row.*")
+    )
+    return _restored(once, docs).unionByName(docs.filter("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that earlier ones hold in the same window; wholly cut ones go."""
-    cut = substring.without_repeats(docs)
+    cut = substring.without_repeats(_carried(docs)).filter("n_words = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return (
-        cut.filter("n_words = 0 or n_removed < n_words")
-        .withColumn("text", text)
-        .withColumn("n_chars", F.length("text").cast("long"))
-        .select(docs.columns)
-    )
+    kept = _restored(cut.withColumn("text", text), docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return (
-        decontamination.with_matches(docs, items).filter(F.size("matches") == 0).select(docs.columns)
-    )
+    found = decontamination.with_matches(_carried(docs), items)
+    return _restored(found.filter(F.size("matches") == 0), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from tallyline.llm.common import ship, stored
@@ -37,7 +38,12 @@ SALTS = 256
 # Words of which a worker caches the ids.
 CACHED = 400_000
 
-PIECES = "piece int, start long, length long, ids binary"
+PIECES = [
+    StructField("piece", IntegerType()),
+    StructField("start", LongType()),
+    StructField("length", LongType()),
+    StructField("ids", BinaryType()),
+]
 
 # Characters below this code point are told apart here; a text with others, with control characters
 # that count as blanks elsewhere, or with a special token goes to the library whole.
@@ -127,9 +133,9 @@ def tokenised(
     Has the columns of ``docs`` but the text and those named like a new one, and ``piece``,
     ``start`` (ids before it), ``length`` and ``ids``.
     """
-    new = {name.split()[0] for name in PIECES.split(", ")}
+    new = {f.name for f in PIECES}
     kept = docs.select(*[c for c in docs.columns if c != text and c not in new])
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + [PIECES])
+    schema = StructType([*kept.schema, *PIECES])
     end = struct.pack("<I", separator)
     ship(docs.sparkSession)
 

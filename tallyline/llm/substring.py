@@ -32,6 +32,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallyline.llm.common import as_bytes, ship, stored
 
@@ -393,7 +394,7 @@ def without_repeats(
     With ``digest`` it has ``kept_sha256`` in place of the text before and after. Input columns of
     the new names are replaced.
     """
-    kept_type = "kept_sha256 string" if digest else "kept_text string"
+    kept = "kept_sha256" if digest else "kept_text"
     new = {"n_words", "n_removed", "kept_text", "kept_sha256", "_starts", "_id", "text_hash", "_text"}
     columns = [c for c in docs.columns if c not in new and c != text]
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -418,24 +419,29 @@ def without_repeats(
         for batch in batches:
             yield split(batch, True)
 
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema]
-        + ["_text string", "n_words long", "n_removed long", kept_type]
+    schema = StructType(
+        [
+            *docs.select(*columns).schema,
+            StructField("_text", StringType()),
+            StructField("n_words", LongType()),
+            StructField("n_removed", LongType()),
+            StructField(kept, StringType()),
+        ]
     )
 
     def told(batch: pa.RecordBatch, texts: pa.Array, marks: list[list[bytes]]) -> pa.RecordBatch:
-        n_words, n_removed, kept = [], [], []
+        n_words, n_removed, found = [], [], []
         for value, marked in zip(as_bytes(texts), marks, strict=True):
             words, n = kept_words(value or b"", marked, size)
             left = b" ".join(words)
             n_words.append(n)
             n_removed.append(n - len(words))
-            kept.append(hashlib.sha256(left).hexdigest() if digest else left.decode())
+            found.append(hashlib.sha256(left).hexdigest() if digest else left.decode())
         texts = pa.nulls(len(texts), pa.string()) if digest else texts
         counts = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, texts, *counts, pa.array(kept, pa.string())],
-            names=[*batch.schema.names, "_text", "n_words", "n_removed", kept_type.split()[0]],
+            [*batch.columns, texts, *counts, pa.array(found, pa.string())],
+            names=[*batch.schema.names, "_text", "n_words", "n_removed", kept],
         )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,3 +80,41 @@ def test_run_returns_the_last_stage(spark, folder):
     packed = corpus_pipeline.run(spark, folder[0])
     assert {"sequence_id", "offset", "ids"} <= set(packed.columns)
     assert packed.count() > 200
+
+
+def odd_folder(spark, path, rows):
+    """A corpus of odd rows whose further columns are named like those of the operators."""
+    names = "score matches kept kept_text n_words _hash predicted _others"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    schema += ", ".join(f"{n} string" for n in names.split())
+    full = [(i, t, None, "s", 1, *["own"] * len(names.split())) for i, t in rows]
+    spark.createDataFrame(full, schema).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, int(i == 15)) for i in range(20)] + [(None, 1, 1), (1, None, None)]
+    schema = "doc_id long, quality int, toxic int"
+    spark.createDataFrame(labels, schema).write.parquet(f"{path}/labels.parquet")
+    items = [(1, None), (None, "too short"), (2, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{path}/benchmark.parquet"
+    )
+    return path
+
+
+def test_stages_over_odd_rows(spark, odd_rows, tmp_path):
+    path = odd_folder(spark, str(tmp_path), odd_rows)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    schema = docs.schema
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, path), name)
+        assert docs.schema == schema
+        rows = docs.collect()
+        assert rows and all(r.score == r.matches == r._others == "own" for r in rows)
+    ids = [r.doc_id for r in rows if r.doc_id is not None]
+    assert len(ids) == len(set(ids))
+    assert any(r.doc_id is None for r in rows)
+    assert {r.doc_id: r.text for r in rows}.get(9) in (None, "a")
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() >= len(rows)
+
+
+def test_stages_over_empty_tables(spark, tmp_path):
+    path = odd_folder(spark, str(tmp_path), [])
+    assert corpus_pipeline.run(spark, path).count() == 0

@@ -163,13 +163,14 @@ class Index:
             for i in alive:
                 nodes[i] = int(np.searchsorted(distinct, keys[i]))
             ends = sorted((nodes[i], walks[i][2], walks[i][3]) for i in alive if walks[i][1] == depth)
+            ended = np.array([e[0] for e in ends], dtype=np.int64)
             likely = np.zeros(1 << _LIKELY_BITS, dtype=bool)
             likely[_slot(distinct)] = True
             levels.append(
                 _Level(
                     distinct,
                     likely,
-                    np.searchsorted(np.array([e[0] for e in ends], dtype=np.int64), np.arange(len(distinct) + 1)),
+                    np.searchsorted(ended, np.arange(len(distinct) + 1)),
                     np.array([e[1] for e in ends], dtype=np.int64),
                     np.array([e[2] for e in ends], dtype=np.int64),
                 )

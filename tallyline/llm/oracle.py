@@ -12,6 +12,10 @@ def _mask(names: tuple[str, ...]) -> int:
 # Words as a list; DuckDB's \\s lacks the vertical tab, so the blanks are spelled out.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_FAILURES = " | ".join(
+    f"(case when {rule.fails} then {1 << i} else 0 end)" for i, rule in enumerate(RULES)
+)
+
 _QUALITY_RULES = rf"""
 with split as (
     select
@@ -50,8 +54,7 @@ with split as (
         len(lines)::bigint as n_lines
     from split left join covered using (doc_id)
 ), ledger as (
-    select *, {" | ".join(f"(case when {rule.fails} then {1 << i} else 0 end)" for i, rule in enumerate(RULES))}
-        as failures
+    select *, {_FAILURES} as failures
     from measured
 )
 select

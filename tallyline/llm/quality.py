@@ -191,7 +191,11 @@ def fit(rows: DataFrame, labelled: DataFrame) -> Discriminant:
                 held[1] += own.sum(axis=0)
                 held[2] += own.T @ own
         # A row per number, so that the sums of all partitions are added by an aggregate.
-        values = [(y, i, float(v)) for y, h in sums.items() for i, v in enumerate([h[0], *h[1], *h[2].ravel()])]
+        values = [
+            (y, i, float(v))
+            for y, (n, total, products) in sums.items()
+            for i, v in enumerate([n, *total, *products.ravel()])
+        ]
         kinds = [pa.int32(), pa.int32(), pa.float64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(zip(*values, strict=True), kinds, strict=True)],

@@ -16,10 +16,12 @@ def conversations(seed):
         n = random.randint(0, 6)
         said = [(pair, t, random.choice(["user", "assistant"]), f"t{random.randrange(3)}") for t in range(n)]
         at = random.randint(0, n)
-        other = said[:at] + [(pair, t, "assistant", f"o{random.randrange(2)}") for t in range(at, at + random.randint(0, 3))]
+        ending = range(at, at + random.randint(0, 3))
+        other = said[:at] + [(pair, t, "assistant", f"o{random.randrange(2)}") for t in ending]
         chosen += said
         rejected += other
-    odd = [(50, 0, None, None), (50, 1, "assistant", "a"), (50, 1, "assistant", "b"), (None, 1, "user", "x"), (51, None, "user", "x")]
+    odd = [(50, 0, None, None), (50, 1, "assistant", "a"), (50, 1, "assistant", "b")]
+    odd += [(None, 1, "user", "x"), (51, None, "user", "x")]
     chosen += odd + [(52, 3, "assistant", "w " * 50_000), (52, 3, "assistant", "w " * 50_000)]
     rejected += [(50, 0, "", ""), (50, 1, "assistant", "c")]
     return chosen, rejected

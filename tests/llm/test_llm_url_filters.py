@@ -108,7 +108,9 @@ def test_intervals(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ENTRIES)
     one = spark.createDataFrame([("spam", "host", "a", "add", DAY)], ENTRIES)
-    capture = spark.createDataFrame([(1, "http://a/", datetime(2024, 2, 1))], "id long, url string, fetched_at timestamp")
+    capture = spark.createDataFrame(
+        [(1, "http://a/", datetime(2024, 2, 1))], "id long, url string, fetched_at timestamp"
+    )
     assert url_filters.judged(capture, none).first().kept
     assert not url_filters.judged(capture, one).first().kept
     assert url_filters.judged(capture.limit(0), one).count() == 0

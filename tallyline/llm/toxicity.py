@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-The examples are a bounded sample of the labelled rows, as many of either class at most. Their terms
-are words and the beginnings of words; those that toxic examples have significantly and several
-times more often than the others make the vocabulary. Examples are kept in an inverted index whose
-postings are cut into blocks, with the largest weight of each term in each block. A query bounds
-the cosine of every block by these and scores blocks from the highest bound down until no bound
-reaches the k-th best cosine, so the neighbours are exact.
+The examples are a bounded sample of the labelled rows, as many of either class at most. Every word
+of theirs is a term with an idf of its own. A word has additional weight the more, the more
+significantly and the more often toxic examples have it than the others; beginnings of words are terms
+for that weight only. One more term of all texts weighs like their words without it, and so sees
+how much of a text is not toxic. No threshold selects words, so a few examples give neighbours too.
+Examples are kept in an inverted index whose postings are cut into blocks, with the largest weight of
+each term in each block. A query bounds the cosine of every block by these and scores blocks from
+the highest bound down until no bound reaches the k-th best cosine, so the neighbours are exact.
 
 Neighbours vote by distance, each for the share of labelled rows that its class's sample stands for,
 and a constant weight votes for the share of toxic rows; that weight is the one of least log loss
-when every example is scored without itself. A text without a term of the vocabulary has the share of
+when every example is scored without itself. A text without words has the share of
 toxic rows among such texts. Only texts are looked at.
 
 A NULL text is empty. Rows are scored one by one; repeated rows and NULL ids stay. Of several
@@ -34,18 +36,17 @@ from tallyline.llm.common import ship, stored
 
 # Examples of a class in the index, at most.
 EXAMPLES = 2048
-# Terms of the vocabulary, at most.
+# Beginnings of words that are terms, at most.
 TERMS = 4096
 # Lengths of the beginnings of words that are terms beside whole words.
 STEMS = (4, 5, 6)
-# What makes a term count: the G statistic of its table against the label, and how many times
-# more often toxic examples have it.
-MIN_G, MIN_LIFT = 20.0, 4.0
+# The G statistic of a term's table against the label at which half of what it tells is believed.
+HALF_G = 20.0
 # Terms that a task counts before it passes the counts on.
 HELD = 50_000
 NEIGHBOURS = 7
 BLOCK = 64
-# The weight in place of an idf for all words outside the vocabulary, taken as one term.
+# The weight of the term that all texts have, by the length of their words without additional weight.
 POOLED = 2.0
 # Added to distances, so that an equal example does not outvote all others.
 NEAR = 0.05
@@ -66,66 +67,98 @@ def terms(text: str | None) -> Counter[str]:
 
 
 class Vocabulary:
-    """Rows and idf of terms. All other words of a text are pooled in one more row, the last."""
+    """Rows, idf and additional weights of terms. The last row is the term that all texts have.
 
-    def __init__(self, idf: list[tuple[str, float]]):
-        self.idf = {term: (i, weight) for i, (term, weight) in enumerate(idf)}
-        self._starts = {term.rstrip("*")[: STEMS[0]] for term in self.idf}
+    The words of a text together have the length 1 + log of their number before additional weights.
+    Words that no example has count in that length only.
+    """
+
+    def __init__(self, terms: list[tuple[str, float, float]], unknown: float):
+        self.rows = {term: i for i, (term, *_) in enumerate(terms)}
+        self.idf = np.array([0.0 if term.endswith("*") else idf for term, idf, _ in terms])
+        self.added = np.array([added for *_, added in terms])
+        self.unknown = unknown
+        self._starts = {term[: STEMS[0]] for term in self.rows if term.endswith("*")}
 
     def vector(self, text: str | None) -> tuple[list[int], list[float]]:
-        """The rows of a text and their weights at length one; none without a known term."""
-        counts: Counter[str] = Counter()
-        others = 0
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            found = ()
-            if word[: STEMS[0]] in self._starts:
-                stems = [word[:s] + "*" for s in STEMS if len(word) > s]
-                found = [t for t in (word, *stems) if t in self.idf]
-                for term in found:
-                    counts[term] += n
-            if not found:
-                others += n
-        if not counts:
+        """The rows of a text and their weights at length one; none without words."""
+        words = Counter(_WORD.findall((text or "").lower()))
+        if not words:
             return [], []
-        rows = [self.idf[t][0] for t in counts]
-        weights = [(1 + math.log(n)) * self.idf[t][1] for t, n in counts.items()]
-        if others:
-            rows.append(len(self.idf))
-            weights.append(POOLED * (1 + math.log(others)))
-        length = math.hypot(*weights)
-        return rows, [w / length for w in weights]
+        counts: Counter[int] = Counter()
+        others = 0.0
+        get = self.rows.get
+        for word, n in words.items():
+            if (row := get(word)) is not None:
+                counts[row] += n
+            else:
+                others += (self.unknown * (1 + math.log(n))) ** 2
+            if word[: STEMS[0]] in self._starts:
+                for size in STEMS:
+                    if len(word) > size and (row := get(word[:size] + "*")) is not None:
+                        counts[row] += n
+        rows = np.fromiter(counts.keys(), np.int64, len(counts))
+        often = 1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))
+        plain = often * self.idf[rows]
+        length = 1 + math.log(words.total())
+        scale = length / math.sqrt(float(plain @ plain) + others)
+        weights = np.append(scale * plain + often * self.added[rows], POOLED * length)
+        whole = math.sqrt(float(weights @ weights) + scale * scale * others)
+        return [*rows.tolist(), len(self.rows)], (weights / whole).tolist()
+
+
+def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first`` up to its ``end``, one range after the other."""
+    sizes = end - first
+    return np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
 
 
 @dataclass
 class Index:
-    """Examples by term and block."""
+    """Examples by term and block. A cell is a term in a block that has it."""
 
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray
-    first: np.ndarray  # by term and block: where its postings begin
+    cells: np.ndarray  # by term: where its cells begin
+    block: np.ndarray  # by cell
+    highest: np.ndarray  # by cell: the largest weight
+    first: np.ndarray  # by cell: where its postings begin
     example: np.ndarray
     weight: np.ndarray
-    highest: np.ndarray  # by term and block: the largest weight
 
     def nearest(self, rows: np.ndarray, weights: np.ndarray, k: int, without: int | None = None):
         """The k examples of highest cosine, ties by their order, and the cosines."""
-        bounds = weights @ self.highest[rows]
+        a, b = self.cells[rows], self.cells[rows + 1]
+        cells, q = _ranges(a, b), np.repeat(weights, b - a)
+        block = self.block[cells]
+        blocks = -(-len(self.ids) // BLOCK)
+        bounds = np.bincount(block, q * self.highest[cells], minlength=blocks)
+        order = np.argsort(-bounds, kind="stable")
         best = np.empty(0, dtype=np.int64)
         scores = np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < scores[-1] - 1e-9:
+        # Blocks are scored a few at a time, twice as many each time.
+        done, many = 0, 4
+        while done < blocks:
+            now = order[done : done + many]
+            now = now[bounds[now] > 0]
+            if len(best) == k:
+                now = now[bounds[now] >= scores[-1] - 1e-9]
+            if not len(now):
                 break
-            own = np.zeros(BLOCK)
-            for row, q in zip(rows, weights, strict=True):
-                a, b = self.first[row, block], self.first[row, block + 1]
-                own[self.example[a:b] - block * BLOCK] += q * self.weight[a:b]
+            chosen = np.zeros(blocks, dtype=bool)
+            chosen[now] = True
+            held = chosen[block]
+            a, b = self.first[cells[held]], self.first[cells[held] + 1]
+            at = _ranges(a, b)
+            own = np.bincount(self.example[at], np.repeat(q[held], b - a) * self.weight[at])
             at = np.flatnonzero(own)
-            at = at[self.ids[block * BLOCK + at] != without] if without is not None else at
-            best = np.concatenate([best, block * BLOCK + at])
+            at = at[self.ids[at] != without] if without is not None else at
+            best = np.concatenate([best, at])
             scores = np.concatenate([scores, own[at]])
-            order = np.lexsort((best, -scores))[:k]
-            best, scores = best[order], scores[order]
+            kept = np.lexsort((best, -scores))[:k]
+            best, scores = best[kept], scores[kept]
+            done, many = done + many, 2 * many
         return best, scores
 
     def votes(self, rows: list[int], weights: list[float], k: int, without: int | None = None):
@@ -142,36 +175,31 @@ class Index:
         return float(power @ self.toxic[best]), float(power.sum()), evidence
 
 
-def build(terms: int, examples: list[tuple[int, int, float, list[int], list[float]]]) -> Index:
+def build(terms: int, examples: list[tuple]) -> Index:
     """The index of (id, toxic, share, rows, weights); those with the same chief terms are neighbours."""
-    held = sorted(
-        (e for e in examples if len(e[3])),
-        key=lambda e: (
-            [row for _, row in sorted(zip(e[4], e[3], strict=True), reverse=True)][:3],
-            e[0],
-        ),
-    )
+
+    def chief(e: tuple) -> tuple:
+        rows, weights = np.asarray(e[3]), np.asarray(e[4])
+        return rows[np.lexsort((-rows, -weights))[:3]].tolist(), e[0]
+
+    held = sorted((e for e in examples if len(e[3])), key=chief)
+    example = np.repeat(np.arange(len(held)), [len(e[3]) for e in held]).astype(np.int64)
+    row = np.concatenate([np.empty(0, np.int64), *[np.asarray(e[3], np.int64) for e in held]])
+    weight = np.concatenate([np.empty(0), *[np.asarray(e[4], np.float64) for e in held]])
+    order = np.lexsort((example, row))
+    example, row, weight = example[order], row[order], weight[order]
     blocks = max(1, -(-len(held) // BLOCK))
-    postings = sorted(
-        (row, n, weight)
-        for n, e in enumerate(held)
-        for row, weight in zip(e[3], e[4], strict=True)
-    )
-    example = np.array([p[1] for p in postings], dtype=np.int64)
-    weight = np.array([p[2] for p in postings])
-    cell = np.array([p[0] for p in postings], dtype=np.int64) * blocks + example // BLOCK
-    edges = np.searchsorted(cell, np.arange(terms * blocks + 1))
-    first = np.concatenate([edges[:-1].reshape(terms, blocks), edges[blocks::blocks, None]], axis=1)
-    highest = np.zeros(terms * blocks)
-    np.maximum.at(highest, cell, weight)
+    cell, first = np.unique(row * blocks + example // BLOCK, return_index=True)
     return Index(
         ids=np.array([e[0] for e in held], dtype=np.int64),
         toxic=np.array([e[1] for e in held], dtype=np.int64),
-        share=np.array([e[2] for e in held]),
-        first=first,
-        example=example,
+        share=np.array([e[2] for e in held], dtype=np.float64),
+        cells=np.searchsorted(cell, np.arange(terms + 1) * blocks),
+        block=(cell % blocks).astype(np.int32),
+        highest=np.maximum.reduceat(weight, first) if len(first) else weight,
+        first=np.append(first, len(example)),
+        example=example.astype(np.int32),
         weight=weight,
-        highest=highest.reshape(terms, blocks),
     )
 
 
@@ -193,8 +221,9 @@ def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[DataFrame
     return stored(texts.join(F.broadcast(chosen), "doc_id"), "examples"), sizes
 
 
-def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> list[tuple[str, float]]:
-    """Terms that mark toxic examples, with their idf over the labelled rows."""
+def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> Vocabulary | None:
+    """The words of the examples and the beginnings that tell most, by their idf over the labelled
+    rows and by what they tell; None without examples of both classes."""
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
@@ -214,7 +243,7 @@ def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> list[
 
     have = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not have.get(0) or not have.get(1):
-        return []
+        return None
     counted = (
         sample.select("text", "toxic")
         .mapInPandas(found, "term string, toxic long, other long")
@@ -232,14 +261,18 @@ def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> list[
         part("a", "a + b", have[1]) + part("b", "a + b", have[0])
         + part("c", "c + d", have[1]) + part("d", "c + d", have[0])
     )
-    lift = F.col("a") / have[1] >= MIN_LIFT * F.col("b") / have[0]
-    kept = counted.withColumn("g", g).filter((F.col("g") >= MIN_G) & lift)
+    lift = F.log((F.col("a") + 0.5) * (have[0] + 1) / ((F.col("b") + 0.5) * (have[1] + 1)))
+    told = stored(counted.select("term", "a", "b", g.alias("g"), lift.alias("lift")), "terms", narrow=True)
+    beginning = F.col("term").endswith("*")
+    stems = told.filter(beginning & (F.col("lift") > 0)).orderBy(F.desc("g"), "term").limit(limit)
+    rows = told.filter(~beginning).unionByName(stems).orderBy("term").toArrow().to_pydict()
     total = sizes[0] + sizes[1]
-    rows = kept.orderBy(F.desc("g"), "term").limit(limit).collect()
-    return [
-        (r.term, math.log((total + 1) / (r.a * sizes[1] / have[1] + r.b * sizes[0] / have[0] + 1)) + 1)
-        for r in rows
-    ]
+    weighed = []
+    for term, a, b, g, lift in zip(*(rows[c] for c in ("term", "a", "b", "g", "lift")), strict=True):
+        idf = math.log((total + 1) / (a * sizes[1] / have[1] + b * sizes[0] / have[0] + 1)) + 1
+        believed = max(g, 0.0) / (max(g, 0.0) + HALF_G)
+        weighed.append((term, idf, idf * believed**2 * max(lift, 0.0)))
+    return Vocabulary(weighed, math.log(total + 1) + 1)
 
 
 @dataclass
@@ -270,14 +303,14 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
     sample, sizes = _sample(docs, labelled, limit)
     total = sum(sizes.values())
     prior = sizes.get(1, 0) / total if total else 0.0
-    idf = _vocabulary(sample, sizes, TERMS)
-    if not idf:
+    vocabulary = _vocabulary(sample, sizes, TERMS)
+    if not vocabulary:
         return Scorer(None, None, 1.0, prior, prior)
-    vocabulary = Vocabulary(idf)
+    known = spark.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("rows array<int>, weights array<double>")
     def vectors(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([vocabulary.vector(t) for t in text], columns=["rows", "weights"])
+        return pd.DataFrame([known.value.vector(t) for t in text], columns=["rows", "weights"])
 
     held = stored(
         sample.select("doc_id", "toxic", "share", vectors("text").alias("v")).select(
@@ -285,7 +318,12 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
         ),
         "vectors",
     )
-    index = build(len(idf) + 1, [tuple(r) for r in held.collect()])
+    examples = [
+        (*r[:3], np.asarray(r[3].values), np.asarray(r[4].values))
+        for batch in held.toArrow().to_batches()
+        for r in zip(*(c.to_pylist() for c in batch.columns[:3]), *batch.columns[3:], strict=True)
+    ]
+    index = build(len(vocabulary.rows) + 1, examples)
     shared = spark.sparkContext.broadcast(index)
 
     def left_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,7 +339,7 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
             )
 
     tried = held.mapInPandas(left_out, "votes double, total double, toxic int, share double")
-    rows = np.array([tuple(r) for r in tried.collect()])
+    rows = np.array([tuple(r) for r in tried.collect()]).reshape(-1, 4)
     votes, totals, toxic, share = rows.T
     bare = totals == 0
     # One row of each class more, so that no text is certain.

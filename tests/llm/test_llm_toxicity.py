@@ -93,6 +93,18 @@ def test_too_few_labels(spark, documents, labels):
     assert len(scores) == 2 and all(0 <= s <= 1 for s in scores)
 
 
+def test_a_few_labels_find_neighbours(spark, documents):
+    rows = corpus(60)
+    few = [r for r in rows if r[2]][:5] + [r for r in rows if not r[2]][:10]
+    scorer = toxicity.fit(documents([r[:2] for r in few]), labelled(spark, few))
+    tried = [(100 + i, t, y) for i, t, y in rows if y and i not in {r[0] for r in few}]
+    tried += [(r[0], r[1], r[2]) for r in few]
+    found = toxicity.scored(documents([r[:2] for r in tried]), scorer).collect()
+    toxic = {i for i, _, y in tried if y}
+    assert all(r.evidence for r in found)
+    assert sum(r.predicted for r in found if r.doc_id in toxic) >= 0.7 * len(toxic)
+
+
 def test_conflicting_labels_count_as_toxic(spark, documents):
     rows = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
     sample, sizes = toxicity._sample(documents([(1, "a"), (2, "b")]), rows, 5)

@@ -5,7 +5,8 @@ returns the packed pieces. Between stages the documents are written as Parquet a
 a lost executor costs no more than a part of one stage.
 
 Rows with a NULL id: toxicity and decontamination judge them like others, near-dedup and substring
-dedup leave them as they are. Of rows that share an id near-dedup keeps the one of the least text.
+dedup leave them as they are. Of rows that share an id near-dedup keeps the one of the least text
+among those that are near duplicates of no smaller id.
 Further columns of the documents go through unchanged, whatever their names.
 """
 
@@ -47,10 +48,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates, once."""
     groups = simhash.near_duplicates(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    # An id may have several texts, of which only some are the first of their group.
+    first = groups.filter("doc_id = component_id").select("doc_id", F.col("fp").alias("_fp")).distinct()
     once = (
         _carried(docs)
-        .join(first, "doc_id", "left_semi")
+        .withColumn("_fp", simhash.fingerprint_of("text"))
+        .join(first, ["doc_id", "_fp"], "left_semi")
         .groupBy("doc_id")
         .agg(F.min_by(F.struct("text", "_others"), F.coalesce("text", F.lit(""))).alias("_row"))
         .select("doc_id", "_row.*")

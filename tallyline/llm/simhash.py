@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -79,6 +80,16 @@ def fingerprints(
     return given.mapInArrow(of, "doc_id long, fp long")
 
 
+def fingerprint_of(text: str, size: int = SHINGLE) -> Column:
+    """The fingerprint of a column of texts, as ``fingerprints`` has it."""
+
+    @F.pandas_udf("long")
+    def of(batch: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t and t.encode(), size) for t in batch], dtype="int64")
+
+    return of(F.col(text))
+
+
 def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 

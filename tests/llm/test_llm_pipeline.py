@@ -115,6 +115,15 @@ def test_stages_over_odd_rows(spark, odd_rows, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() >= len(rows)
 
 
+def test_an_id_keeps_the_text_that_no_other_has(spark, documents):
+    random.seed(4)
+    copied, own = ("a " + " ".join(random.choices("uvwxyz", k=60)) for _ in range(2))
+    own = "b" + own
+    docs = documents([(1, copied), (2, copied), (2, own), (3, None), (4, "")])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, copied), (2, own), (3, None)]
+
+
 def test_stages_over_empty_tables(spark, tmp_path):
     path = odd_folder(spark, str(tmp_path), [])
     assert corpus_pipeline.run(spark, path).count() == 0

@@ -105,6 +105,13 @@ def test_a_few_labels_find_neighbours(spark, documents):
     assert sum(r.predicted for r in found if r.doc_id in toxic) >= 0.7 * len(toxic)
 
 
+def test_a_copy_of_an_example_of_rare_words_is_found(spark, documents):
+    rows = [*corpus(120), (900, "seldom heard syllables gather here", 1)]
+    scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, rows))
+    _, _, evidence = scorer.votes(rows[-1][1], 7)
+    assert evidence[0][0] == 900 and evidence[0][1] == pytest.approx(1)
+
+
 def test_conflicting_labels_count_as_toxic(spark, documents):
     rows = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
     sample, sizes = toxicity._sample(documents([(1, "a"), (2, "b")]), rows, 5)

@@ -7,63 +7,57 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import running_totals
 
+def _closed(holidays: DataFrame) -> DataFrame:
+    """(closed): one array of the weekdays without business, no more than the calendar has."""
+    day = F.col("HolidayDate")
+    return holidays.agg(F.collect_set(F.when(F.weekday(day) < 5, day)).alias("closed"))
 
-def _calendar(first: Column, last: Column, days: DataFrame, closed: DataFrame) -> DataFrame:
-    """(date, open, rank) of the days between two aggregates of ``days``.
-
-    ``rank`` counts the business days up to and including the date, in blocks of a year.
-    """
-    calendar = days.agg(first.alias("first"), last.alias("last")).select(
-        F.explode(F.sequence("first", "last")).alias("date"), F.lit(0).alias("_all")
-    )
-    weekday = F.weekday("date") < 5
-    marked = (
-        calendar.join(closed, F.col("date") == F.col("HolidayDate"), "left")
-        .select("_all", "date", (weekday & F.col("HolidayDate").isNull()).alias("open"))
-    )
-    return running_totals(
-        marked,
-        {"rank": F.col("open").cast("long")},
-        order=["date"],
-        block=F.year("date"),
-        key="_all",
-    ).select("date", "open", "rank")
 
+def _weekdays(first: Column, last: Column) -> Column:
+    return F.filter(F.sequence(first, last), lambda day: F.weekday(day) < 5)
 
-def _numbered(days: DataFrame, day: str, n: int, holidays: DataFrame) -> DataFrame:
-    """The calendar that the n-th business days before all ``days`` lie in.
 
-    It reaches back as many weeks as n business days and every holiday could take up.
-    """
-    closed = holidays.filter(F.col("HolidayDate").isNotNull()).select("HolidayDate").distinct()
-    weeks = F.ceil((F.lit(n) + closed.agg(F.count(F.lit(1))).scalar()) / F.lit(5)) + 1
-    first = F.date_sub(F.min(day), (weeks * 7).cast("int"))
-    return _calendar(first, F.date_sub(F.max(day), 1), days, closed)
+def _reach(n: int, closed: Column) -> Column:
+    """Days back that n business days fit in, even if all closed days lie there too."""
+    return ((F.ceil((F.size(closed) + n) / F.lit(5)) + 1) * 7).cast("int")
 
 
 def previous_business_days(days: DataFrame, day: str, n: int, holidays: DataFrame) -> DataFrame:
     """(day, PreviousBusinessDay): the n-th business day before each distinct day.
 
-    The day itself does not count. The business days of the calendar that the days span are
-    numbered once; a day then looks up the number of the day before it, and the day whose
-    number is n - 1 less, both by equality. The work is per day of the calendar.
+    The day itself does not count. One calendar from the first to the last day holds the answer
+    of every day in it, and a day looks itself up by equality. The work is per day of the
+    calendar, and holidays are read once.
     """
     asked = days.filter(F.col(day).isNotNull()).select(day).distinct()
-    calendar = _numbered(asked, day, n, holidays)
-    before = calendar.select(
-        F.date_add("date", 1).alias(day), (F.col("rank") - (n - 1)).alias("rank")
+    span = asked.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    opened = span.select("first", "last", _closed(holidays).scalar().alias("closed")).select(
+        "last",
+        F.array_except(
+            _weekdays(F.date_sub("first", _reach(n, F.col("closed"))), F.col("last")), "closed"
+        ).alias("open"),
+    )
+
+    def answers(i: Column) -> Column:
+        """The days after the business day at i - 1, up to the next one."""
+        after = F.date_add(F.get("open", i - 1), 1)
+        until = F.coalesce(F.get("open", i), F.col("last"))
+        answer = F.get("open", i - n).alias("PreviousBusinessDay")
+        found = F.transform(F.sequence(after, until), lambda d: F.struct(d.alias(day), answer))
+        return F.when(after <= until, found).otherwise(F.array())
+
+    calendar = opened.select(
+        F.inline(F.flatten(F.transform(F.sequence(F.lit(n), F.size("open")), answers)))
     )
-    opened = calendar.filter("open").select("rank", F.col("date").alias("PreviousBusinessDay"))
-    return asked.join(before, day).join(opened, "rank").select(day, "PreviousBusinessDay")
+    return asked.join(calendar, day).select(day, "PreviousBusinessDay")
 
 
 def nth_previous_business_day(
     spark: SparkSession, day: date, n: int, holidays: DataFrame
 ) -> Column:
-    """The n-th business day before ``day`` as a scalar subquery column."""
-    start = spark.range(1).select(F.lit(day).alias("day"))
-    calendar = _numbered(start, "day", n, holidays)
-    last = calendar.agg(F.max("rank")).scalar()
-    return calendar.filter(F.col("open") & (F.col("rank") == last - (n - 1))).select("date").scalar()
+    """The n-th business day before ``day`` as a scalar subquery column, from one read of holidays."""
+    before = holidays.filter(F.col("HolidayDate") < F.lit(day))
+    yesterday = F.date_sub(F.lit(day), 1)
+    weekdays = F.reverse(_weekdays(F.date_sub(yesterday, _reach(n, F.col("closed"))), yesterday))
+    return _closed(before).select(F.get(F.array_except(weekdays, "closed"), F.lit(n - 1))).scalar()

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import SPAN, number_block
+from tallyline.operators.scans import cuts, reached, with_cuts
 from tallyline.sources.contracts import MONEY
 
 # Fixed value: the end of a loan's last statement period.
@@ -18,64 +18,37 @@ OPEN_END = date(9999, 12, 31)
 _SEQUENCE = ("PaymentNumber", "PaymentDate")
 
 
+# Days that share a piece of the calendar.
+PIECE = 512
+
+
 def next_bill_date(bill: DataFrame) -> DataFrame:
     """Add ``PaymentDateNext``: the date of the loan's next bill by number.
 
     The last bill, and a bill whose successor has no date, get the open end.
     """
-    return _followed(bill).drop("_block")
+    return _followed(bill, bill_cuts(bill)).drop("_block")
 
 
-def _followed(bill: DataFrame) -> DataFrame:
-    """Bills with ``PaymentDateNext`` and the block they were ordered in.
-
-    Only bills numbered from SPAN on can open a later block, so the carried side
-    is a scan filtered on the number, empty for ordinary loans.
-    """
-    blocked = bill.withColumn("_block", number_block("PaymentNumber"))
-    within = Window.partitionBy("LoanID", "_block").orderBy(*_SEQUENCE)
-    local = blocked.select(
-        "*",
-        F.lead("PaymentNumber").over(within).alias("_next_number"),
-        F.lead("PaymentDate").over(within).alias("_next_date"),
-    )
-    openers = (
-        blocked.filter(F.col("PaymentNumber") >= SPAN)
-        .groupBy("LoanID", "_block")
-        .agg(F.min(F.struct(*_SEQUENCE))["PaymentDate"].alias("_opener"))
-    )
-    blocks = Window.partitionBy("LoanID").orderBy("_block")
-    carried = openers.select(
-        "LoanID", F.lag("_block", 1, 0).over(blocks).alias("_block"), "_opener"
-    )
-    following = F.when(F.col("_next_number").isNotNull(), F.col("_next_date")).otherwise(
-        F.col("_opener")
-    )
-    return local.join(carried, ["LoanID", "_block"], "left").select(
-        *bill.columns, "_block", F.coalesce(following, F.lit(OPEN_END)).alias("PaymentDateNext")
-    )
+def bill_cuts(bill: DataFrame) -> DataFrame:
+    """(LoanID, _cuts) of bills in their order."""
+    return cuts(bill, list(_SEQUENCE))
 
 
-def _statement_periods(bill: DataFrame) -> DataFrame:
-    """The half-open statement periods, with the run each belongs to.
+def _followed(bill: DataFrame, cut: DataFrame) -> DataFrame:
+    """Bills with ``PaymentDateNext`` and the block they were ordered in.
 
-    Empty periods hold no date and are left out. A run is a chain of periods in
-    which each starts where the one before ends, so a date lies in at most one
-    period of a run. A loan whose bill dates rise with the number is one run per
-    block and brings at most one period per day.
+    A cut is a bill, the first of its block. So what follows the last bill of a block is in the
+    cuts already, and bills are read for no second time.
     """
-    periods = _followed(bill.select("LoanID", "PaymentNumber", "PaymentDate")).filter(
-        F.col("PaymentDate") < F.col("PaymentDateNext")
-    )
+    blocked = with_cuts(bill, cut).withColumn("_block", reached(F.struct(*_SEQUENCE)))
     within = Window.partitionBy("LoanID", "_block").orderBy(*_SEQUENCE)
-    broken = F.lag("PaymentDateNext").over(within) != F.col("PaymentDate")
-    return periods.withColumn("_broken", F.when(broken, 1).otherwise(0)).select(
-        "LoanID",
+    opener = F.get("_cuts", F.col("_block"))["PaymentDate"]
+    following = F.when(F.lead(F.lit(True)).over(within), F.lead("PaymentDate").over(within))
+    return blocked.select(
+        *bill.columns,
         "_block",
-        F.sum("_broken").over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("_run"),
-        F.col("PaymentNumber").alias("MonthReal"),
-        F.col("PaymentDate").alias("PeriodStart"),
-        F.col("PaymentDateNext").alias("PeriodEnd"),
+        F.coalesce(following.otherwise(opener), F.lit(OPEN_END)).alias("PaymentDateNext"),
     )
 
 
@@ -85,40 +58,41 @@ def _place(dated: DataFrame, bill: DataFrame) -> DataFrame:
     Callers pass rows already collapsed to the calendar (one row per loan, day
     and at most status), so no loan brings more rows than there are days.
 
-    Rows first meet the date ranges of the loan's runs, as a rule one, and then
-    take the last period started in the run. That costs a sort by date, where a
-    join with the periods would compare each row with every period of the loan.
-    The union keeps the partitioning by loan, so all of it, and what callers do
-    by loan afterwards, shares one shuffle per input.
+    Periods are divided at the borders of calendar pieces, and a day meets the
+    periods of its own piece only: they are joined by loan, block of bills and piece,
+    whether or not bill dates rise with the number. A loan of many bills is spread
+    over its blocks and pieces; its days are given to each of its blocks. Empty periods hold no
+    date and are left out. Days after the last bill sampled share the last piece, so that open
+    periods end there.
     """
-    periods = _statement_periods(bill)
-    runs = periods.groupBy("LoanID", "_block", "_run").agg(
-        F.min("PeriodStart").alias("_from"), F.max("PeriodEnd").alias("_until")
-    )
-    in_run = (F.col("PaymentDate") >= F.col("_from")) & (F.col("PaymentDate") < F.col("_until"))
-    rows = dated.join(runs, "LoanID").filter(in_run).drop("_from", "_until")
-    starts = periods.repartition("LoanID").select(
+    cut = bill_cuts(bill)
+    last = (date.today() - date(1970, 1, 1)).days // PIECE
+
+    def piece(day: Column) -> Column:
+        return F.least(F.floor(F.unix_date(day) / F.lit(PIECE)), F.lit(last)).cast("int")
+
+    columns = bill.select("LoanID", *_SEQUENCE)
+    periods = _followed(columns, cut).filter(F.col("PaymentDate") < F.col("PaymentDateNext"))
+    pieces = F.sequence(piece(F.col("PaymentDate")), piece(F.date_sub("PaymentDateNext", 1)))
+    divided = periods.select(
         "LoanID",
         "_block",
-        "_run",
-        F.col("PeriodStart").alias("PaymentDate"),
-        F.col("MonthReal").alias("_started"),
+        F.explode(pieces).alias("_piece"),
+        F.col("PaymentNumber").alias("MonthReal"),
+        F.col("PaymentDate").alias("_from"),
+        F.col("PaymentDateNext").alias("_until"),
     )
-    # A period started on the day of a payment comes before it.
-    so_far = (
-        Window.partitionBy("LoanID", "_block", "_run")
-        .orderBy("PaymentDate", F.col("_started").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
+    days = with_cuts(dated, cut).select(
+        *dated.columns,
+        F.explode(blocks).alias("_block"),
+        piece(F.col("PaymentDate")).alias("_piece"),
     )
+    held = (F.col("PaymentDate") >= F.col("_from")) & (F.col("PaymentDate") < F.col("_until"))
     return (
-        starts.unionByName(rows, allowMissingColumns=True)
-        .select(
-            *dated.columns,
-            "_started",
-            F.last("_started", ignorenulls=True).over(so_far).alias("MonthReal"),
-        )
-        .filter(F.col("_started").isNull())
-        .drop("_started")
+        days.join(divided, ["LoanID", "_block", "_piece"])
+        .filter(held)
+        .select(*dated.columns, "MonthReal")
     )
 
 

@@ -1,75 +1,149 @@
 """Ordered scans per loan that do not put a whole loan into one task.
 
 A window partitioned by loan alone sends every row of the loan to one task. The
-scans here partition by (loan, block) instead, where the block is a coarse,
-order-preserving function of the sort key, and carry what a block needs from
-its neighbours through a table with one row per (loan, block). A loan that
-holds a large share of all rows is spread over its blocks; for an ordinary loan
-there is one block and nothing is carried.
+scans here partition by (loan, block) instead. Blocks come from the data: one row
+in ``rows_per_block`` is a cut, as told by a hash of its loan and sort key, and a new
+block of the loan begins there. A loan with a third of all rows has a third of the
+cuts; most loans have none and are one block. The cuts are few, bounded in number
+and found by one narrow scan, so the table of them is broadcast.
+What a block needs from those before it is worked out again for the loans that have
+cuts, and for them alone, and carried by a table with one row per (loan, block).
+
+Everything is part of the plan: building a query starts no job, and small and
+large loans share one plan. A hash finds the same cuts whenever a plan is evaluated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Consecutive statement numbers that share a block. Far above the number of
-# statements of an ordinary loan (360 for thirty years of months).
-SPAN = 4096
+_ROWS_PER_BLOCK = ContextVar("rows_per_block", default=1 << 18)
+
+# Cuts of one loan, and of all loans, at most. Beyond, every second, third, ... one counts.
+CUTS_OF_ONE = 4096
+CUTS = 1 << 17
 
 ROWS = "rows"  # all rows up to this one
 RANGE = "range"  # all rows up to this one and those tied with it
 BEFORE = "before"  # all rows with a smaller sort key
 
 
-def number_block(number: str) -> Column:
-    return F.greatest(F.floor(F.col(number) / F.lit(SPAN)), F.lit(0)).cast("int")
+@contextmanager
+def rows_per_block(rows: int) -> Iterator[None]:
+    """Queries built inside cut loans into blocks of so many rows on average."""
+    token = _ROWS_PER_BLOCK.set(rows)
+    try:
+        yield
+    finally:
+        _ROWS_PER_BLOCK.reset(token)
+
+
+def number_block(number: str, span: int = 4096) -> Column:
+    """A block of ``span`` consecutive numbers, for numbers known to lie close."""
+    return F.greatest(F.floor(F.col(number) / F.lit(span)), F.lit(0)).cast("int")
+
+
+def cuts(rows: DataFrame, order: list[str], key: str = "LoanID") -> DataFrame:
+    """(key, _cuts): the sort keys at which the blocks of a key begin, in order.
+
+    A key without a cut is left out. No key has more than CUTS_OF_ONE and all have no more than CUTS.
+    """
+    chosen = F.pmod(F.xxhash64(key, *order), F.lit(_ROWS_PER_BLOCK.get())) == 0
+    found = (
+        rows.filter(chosen)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_cuts"))
+    )
+    # One row for each loan that is cut: a small table, on its way to a broadcast.
+    all_cuts = F.sum(F.size("_cuts")).over(Window.partitionBy())
+    most = F.greatest(F.size("_cuts") / F.lit(CUTS_OF_ONE), all_cuts / F.lit(CUTS))
+    step = F.ceil(most).cast("int")
+    kept = F.filter("_cuts", lambda cut, i: F.pmod(i + 1, F.col("_step")) == 0)
+    return (
+        found.withColumn("_step", step)
+        .filter(F.size("_cuts") >= F.col("_step"))
+        .select(key, kept.alias("_cuts"))
+    )
+
+
+# Steps of a search among the cuts of a loan.
+_STEPS = tuple(1 << i for i in reversed(range(CUTS_OF_ONE.bit_length())))
 
 
-def block_of(source: DataFrame, number: str) -> Column | None:
-    """The block of a number, or None while every number of ``source`` is in the first.
+def reached(here: Column, field: str | None = None) -> Column:
+    """The block of a sort key: how many of the row's ``_cuts`` lie at it or before.
 
-    Runs a scan for numbers beyond the first block. Over stored inputs the filter reaches the
-    files, whose statistics answer it for ordinary loans.
+    ``field`` compares that field of a cut alone. Found by halving, so a loan of many cuts costs
+    few comparisons, and one without costs none.
     """
-    return None if source.filter(F.col(number) >= SPAN).isEmpty() else number_block(number)
+
+    def further(found: Column, step: Column) -> Column:
+        at = F.get("_cuts", found + step - 1)
+        return F.when((at[field] if field else at) <= here, found + step).otherwise(found)
+
+    search = F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), further)
+    return F.when(F.col("_cuts").isNull(), 0).otherwise(search)
+
+
+def _few(cut: DataFrame) -> DataFrame:
+    """For joins: there are no more than CUTS, whatever the input."""
+    return F.broadcast(cut)
+
+
+def with_cuts(rows: DataFrame, cut: DataFrame, key: str = "LoanID") -> DataFrame:
+    """Add ``_cuts`` to the rows, NULL for a key without."""
+    return rows.join(_few(cut), key, "left")
+
+
+def in_blocks(rows: DataFrame, cut: DataFrame, by: str, key: str = "LoanID") -> DataFrame:
+    """Add ``_block`` by the first sort column of the cuts."""
+    first = cut.schema["_cuts"].dataType.elementType.names[0]
+    block = reached(F.col(by), first)
+    return with_cuts(rows, cut, key).withColumn("_block", block).drop("_cuts")
 
 
 def running_totals(
     rows: DataFrame,
     totals: dict[str, Column],
     order: list[str],
-    block: Column | None,
+    block: Column | None = None,
     frame: str = ROWS,
     key: str = "LoanID",
+    cut: DataFrame | None = None,
 ) -> DataFrame:
     """Add one running sum per entry of ``totals``, in ``order`` within ``key``.
 
-    ``block`` must not decrease along ``order``; without one, the input is read once and a key
-    is one window. RANGE and BEFORE take a single integer sort column. A sum over no non-NULL
-    value is NULL.
+    Blocks follow the first column of ``order``, at the cuts of ``cut`` or those of the rows
+    themselves. ``block`` gives the block of a row where it is known: with ``cut`` as found by it,
+    alone where a calendar or the like divides all keys. It must not decrease along ``order``.
+    RANGE and BEFORE take a single integer sort column. A sum over no non-NULL value is NULL.
     """
-
-    def summed(given: DataFrame, *by: str) -> DataFrame:
-        within = Window.partitionBy(*by).orderBy(*order)
-        within = {
-            ROWS: within.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-            RANGE: within.rangeBetween(Window.unboundedPreceding, Window.currentRow),
-            BEFORE: within.rangeBetween(Window.unboundedPreceding, -1),
-        }[frame]
-        return given.select(
-            "*", *[F.sum(value).over(within).alias(name) for name, value in totals.items()]
-        )
-
     if block is None:
-        return summed(rows, key)
-    blocked = rows.withColumn("_block", block)
-    local = summed(blocked, key, "_block")
+        cut = cuts(rows, order[:1], key) if cut is None else cut
+        blocked = in_blocks(rows, cut, order[0], key)
+    else:
+        blocked = rows.withColumn("_block", block)
+    divided = blocked if cut is None else blocked.join(_few(cut.select(key)), key, "left_semi")
+
+    within = Window.partitionBy(key, "_block").orderBy(*order)
+    within = {
+        ROWS: within.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+        RANGE: within.rangeBetween(Window.unboundedPreceding, Window.currentRow),
+        BEFORE: within.rangeBetween(Window.unboundedPreceding, -1),
+    }[frame]
+    local = blocked.select(
+        "*", *[F.sum(value).over(within).alias(name) for name, value in totals.items()]
+    )
 
     blocks = Window.partitionBy(key).orderBy("_block")
     earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        blocked.groupBy(key, "_block")
+        divided.groupBy(key, "_block")
         .agg(*[F.sum(value).alias(name) for name, value in totals.items()])
         .select(
             key,
@@ -85,6 +159,8 @@ def running_totals(
         here, before = F.col(name), F.col(f"_carried_{name}")
         return F.coalesce(here + before, here, before).alias(name)
 
+    if cut is not None:
+        carried = _few(carried)
     return local.join(carried, [key, "_block"], "left").select(
         *rows.columns, *[total(name) for name in totals]
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
-from tallyline.operators.scans import RANGE, block_of, running_totals
+from tallyline.operators.scans import RANGE, running_totals
 from tallyline.operators.totals import billed_before
 from tallyline.sources.contracts import MONEY
 
@@ -104,7 +104,6 @@ def totals_by_month(pay: DataFrame) -> DataFrame:
         ),
         {name: F.col(f"_{name}") for name in measures},
         order=["MonthNumber"],
-        block=block_of(pay, "MonthNumber"),
         frame=RANGE,
     )
     return totals.select("LoanID", "MonthNumber", *measures)

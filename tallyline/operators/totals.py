@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import BEFORE, block_of, running_totals
+from tallyline.operators.scans import BEFORE, cuts, in_blocks, running_totals
 from tallyline.sources.contracts import MONEY
 
 
@@ -15,7 +15,6 @@ def bill_running_totals(bill: DataFrame) -> DataFrame:
         bill,
         {"SumPrincipal": F.col("PrincipalPayment"), "SumInterest": F.col("InterestPayment")},
         order=["PaymentNumber", "PaymentDate"],
-        block=block_of(bill, "PaymentNumber"),
     )
     return totals.select(
         "LoanID",
@@ -37,7 +36,6 @@ def billed_before(bill: DataFrame) -> DataFrame:
             "ScheduledInterestReceivedToDate": F.col("InterestPayment"),
         },
         order=["PaymentNumber"],
-        block=block_of(bill, "PaymentNumber"),
         frame=BEFORE,
     )
 
@@ -51,27 +49,23 @@ def contiguous_totals(rows: DataFrame, number: str, amounts: dict[str, str]) ->
     that occurs twice is an error if the chain reaches it, and not beyond its end.
     """
     # Equal numbers share a block and stand next to each other in it; the first counts.
-    block = block_of(rows, number)
-    by = ["LoanID"] if block is None else ["LoanID", "_block"]
-    previous = F.lag(number).over(Window.partitionBy(*by).orderBy(number))
+    chained = rows.filter(F.col(number) >= 1)
+    cut = cuts(chained, [number])
+    blocked = in_blocks(chained, cut, number)
+    previous = F.lag(number).over(Window.partitionBy("LoanID", "_block").orderBy(number))
     totals: dict[str, Column] = {"_position": F.col("_new")}
     for name, amount in amounts.items():
         totals[name] = F.col(amount)
         totals[f"_unknown_{name}"] = F.col(amount).isNull().cast("int")
-    blocked = rows.filter(F.col(number) >= 1)
-    if block is not None:
-        blocked = blocked.withColumn("_block", block)
     marked = blocked.withColumn("_new", F.when(previous == F.col(number), 0).otherwise(1))
-    scanned = running_totals(
-        marked, totals, order=[number], block=None if block is None else F.col("_block")
-    )
-    reached = F.col("_position") == F.col(number)
+    scanned = running_totals(marked, totals, order=[number], block=F.col("_block"), cut=cut)
+    in_chain = F.col("_position") == F.col(number)
     # The check must not name the position: it would be inferred for all rows from the equality.
     once = F.assert_true(
         F.col("_new") == 1,
         F.concat(F.lit(f"{number} occurs twice in loan "), F.col("LoanID")),
     )
-    return scanned.filter(F.when(reached, once.isNull()).otherwise(F.lit(False))).select(
+    return scanned.filter(F.when(in_chain, once.isNull()).otherwise(F.lit(False))).select(
         *rows.columns,
         *[
             F.when(F.col(f"_unknown_{name}") == 0, F.col(name)).cast(MONEY).alias(name)

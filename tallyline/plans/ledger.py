@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
-from tallyline.operators.align import align_payments_to_statements
-from tallyline.operators.scans import block_of, running_totals
+from tallyline.operators.align import align_payments_to_statements, bill_cuts
+from tallyline.operators.scans import running_totals
 from tallyline.operators.terms import with_terms
 from tallyline.sources.contracts import MONEY
 
@@ -24,11 +24,9 @@ _PAST_DUE_COUNT = "NumberOfStatementPastDue"
 def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
     """Add the seven running totals to aligned payments.
 
-    A loan brings one row per statement and status. While no loan has as many statements as
-    a block holds, one window by loan does; otherwise the totals run in blocks of statements, so
-    that a loan of many is several tasks' work.
-    Blocks take the aligned payments twice; with ``spark.checkpoint.dir`` set they are
-    written there once and not worked out again.
+    A loan brings one row per statement and status. The totals run in the blocks that its bills
+    were placed in, so that a loan of many statements is several tasks' work. Only the payments of
+    loans that are cut are aligned a second time, for the sums of their blocks.
     """
     status = F.col("Status")
     totals = {
@@ -40,11 +38,7 @@ def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
         "ScheduledInterestReceivedToDate": F.col("AmountInterest"),
         _PAST_DUE_COUNT: F.when(status == c.PAST_DUE, 1).otherwise(0),
     }
-    numbers = bill.select(F.col("PaymentNumber").alias("MonthNumber"))
-    block = block_of(numbers, "MonthNumber")
-    if block is not None and aligned.sparkSession.conf.get("spark.checkpoint.dir", None):
-        aligned = aligned.checkpoint()
-    rows = running_totals(aligned, totals, list(ORDER), block)
+    rows = running_totals(aligned, totals, list(ORDER), cut=bill_cuts(bill))
     return rows.select(
         *aligned.columns,
         *[

@@ -13,6 +13,7 @@ from tallyline.functions.business_days import (
 )
 from tallyline.functions.columns import day_of
 from tallyline.operators import align, lookup, quality, snapshot, terms, totals
+from tallyline.operators.scans import rows_per_block
 from tallyline.plans.ledger import analysis_ledger, cumulative_ledger, masked_amounts
 from tallyline.plans.snapshot import POSTING_DAYS, ledger_snapshot
 from tallyline.sources.analogue import AS_OF, Analogue
@@ -29,6 +30,9 @@ SHAPES = {
     "unknown_values": {"unknown": True},
 }
 
+# Large loans of the smallest directories have several blocks too.
+ROWS_OF_A_BLOCK = 256
+
 _QUERIES: dict[str, tuple[Callable[[Analogue], DataFrame], dict]] = {}
 
 
@@ -50,7 +54,13 @@ def _also(*shapes: str) -> Callable:
 
 def queries() -> dict[str, Query]:
     def bound(function: Callable[[Analogue], DataFrame], shape: dict) -> Query:
-        return lambda spark, sf_dir: function(Analogue(spark, sf_dir, **shape))
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if "loans" not in shape:
+                return function(Analogue(spark, sf_dir, **shape))
+            with rows_per_block(ROWS_OF_A_BLOCK):
+                return function(Analogue(spark, sf_dir, **shape))
+
+        return query
 
     return {name: bound(*query) for name, query in _QUERIES.items()}
 

@@ -82,13 +82,6 @@ def ledger(inputs, **more):
     )
 
 
-@pytest.fixture
-def one_block(monkeypatch):
-    """Plans as for loans of fewer statements than a block holds."""
-    for module in (scans, align):
-        monkeypatch.setattr(module, "SPAN", 1 << 30)
-
-
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_pairwise_joins_and_no_python(spark, sort_merge, name):
     text = plan(registry.queries()[name](spark, SF_DIR))
@@ -96,7 +89,7 @@ def test_no_pairwise_joins_and_no_python(spark, sort_merge, name):
         assert node not in text
 
 
-def test_only_needed_columns_are_read(stored, sort_merge, one_block):
+def test_only_needed_columns_are_read(stored, sort_merge):
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan(ledger(stored)))
     pay = next(scan for scan in scans if "AmountPrincipal" in scan)
     assert "PrincipalWaived" not in pay and "MonthNumber" not in pay
@@ -104,43 +97,77 @@ def test_only_needed_columns_are_read(stored, sort_merge, one_block):
     assert "PrincipalPayment" not in bill
 
 
-def test_payments_shuffle_twice_and_collapsed_first(stored, sort_merge, one_block):
-    text = plan(ledger(stored, ordered=False))
+def test_payments_are_collapsed_first_and_placed_by_piece(stored, sort_merge):
+    text = plan(align.align_payments_to_statements(stored["pay"], stored["bill"]))
     by_day = r"Exchange hashpartitioning\(LoanID#\d+, PaymentDate#\d+, Status#\d+"
     assert len(re.findall(by_day, text)) == 1
-    # Beyond that one shuffle by loan per input: payments, bills with their
-    # runs, loan and cb; the openers of later blocks are the sixth.
-    by_loan = r"Exchange hashpartitioning\(LoanID#\d+, \d+\)"
-    assert len(re.findall(by_loan, text)) <= 7
-    assert "PushedFilters: [IsNotNull(PaymentNumber), GreaterThanOrEqual(PaymentNumber,1073741824)" in text
+    by_piece = r"Exchange hashpartitioning\(LoanID#\d+, _block#\d+, _piece#\d+"
+    assert len(re.findall(by_piece, text)) == 2
+    # By loan alone go the cuts of bills, and nothing else.
+    for shuffle in re.finditer(r"Exchange hashpartitioning\(LoanID#\d+, \d+\)", text):
+        below = text[shuffle.end() :].split("\n")[1]
+        assert "collect_set" in below
+
+
+def executed(df):
+    """The plan as it was run, where a reused exchange names its scan no second time."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_alignment_reads_bills_twice(stored, sort_merge):
+    """Once for the cuts and once for the periods."""
+    with scans.rows_per_block(1024):
+        text = executed(align.align_payments_to_statements(stored["pay"], stored["bill"]))
+    assert reads(text, "PaymentNumber") == 2
+    assert reads(text, "AmountPrincipal") == 1
 
 
 def reads(text, column):
     return sum(column in scan for scan in re.findall(r"ReadSchema: struct<([^\n]*)", text))
 
 
-def test_running_totals_read_their_input_once(stored, sort_merge, one_block):
-    bills = totals.bill_running_totals(stored["bill"])
-    assert reads(plan(bills), "PrincipalPayment") == 1
-    assert reads(plan(totals.bill_chain_totals(stored["bill"])), "PrincipalPayment") == 1
-    assert reads(plan(snapshot.totals_by_month(stored["pay"])), "AmountPrincipal") == 1
+def test_running_totals_read_the_amounts_once(stored, sort_merge):
+    """Where no loan is cut, the pass for what is carried falls away as the query runs."""
+    bills, chain = totals.bill_running_totals, totals.bill_chain_totals
+    ordinary = stored["bill"].filter("LoanID <> 'hot'")
+    assert reads(executed(bills(ordinary)), "PrincipalPayment") == 1
+    assert reads(executed(chain(ordinary)), "PrincipalPayment") == 1
+    assert reads(executed(snapshot.totals_by_month(stored["pay"])), "AmountPrincipal") == 1
 
 
-def test_snapshot_measures_read_payments_twice(stored, sort_merge, one_block):
+def test_snapshot_measures_read_payments_twice(stored, sort_merge):
     position = stored["loan"].select("LoanID")
     inputs = stored["pay"], stored["bill"]
     as_of = date(2030, 1, 1)
     statements = snapshot.statement_measures(*inputs, position, as_of)
     loans = snapshot.loan_measures(*inputs, as_of)
-    assert reads(plan(statements), "AmountPrincipal") <= 2
-    assert reads(plan(loans), "AmountPrincipal") <= 2
+    assert reads(executed(statements), "AmountPrincipal") <= 2
+    assert reads(executed(loans), "AmountPrincipal") <= 2
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_building_a_query_starts_no_job(spark, name):
+    spark.sparkContext.setJobGroup(f"building {name}", name)
+    registry.queries()[name](spark, SF_DIR)
+    tracker = spark.sparkContext.statusTracker()
+    assert list(tracker.getJobIdsForGroup(f"building {name}")) == []
+
 
+def test_large_and_ordinary_loans_share_one_plan(stored, sort_merge):
+    def shape(inputs):
+        return re.sub(r"#\d+L?|\d+", "", plan(totals.bill_running_totals(inputs)))
 
-def test_the_probe_for_large_numbers_reaches_the_scan(stored):
-    text = plan(stored["bill"].filter(F.col("PaymentNumber") >= scans.SPAN))
-    assert "GreaterThanOrEqual(PaymentNumber,4096)" in text
-    assert scans.block_of(stored["bill"], "PaymentNumber") is not None
-    assert scans.block_of(stored["bill"].filter("LoanID <> 'hot'"), "PaymentNumber") is None
+    ordinary = stored["bill"].filter("LoanID <> 'hot'")
+    large = stored["bill"].filter("LoanID <> 'ice'")
+    assert shape(ordinary).replace("hot", "") == shape(large).replace("ice", "")
+
+
+@pytest.mark.parametrize("name", ["loan_status", "nth_previous_business_day_of_bills"])
+def test_holidays_are_read_once(spark, name):
+    text = plan(registry.queries()[name](spark, SF_DIR))
+    assert len(re.findall(r"date_format[^\n]*MM-dd", text.split("Initial Plan")[0])) <= 2
+    assert text.count("MM-dd") <= 2
 
 
 def test_loan_filter_reaches_both_scans(stored, sort_merge):
@@ -165,41 +192,88 @@ def test_large_loan_is_collapsed_to_the_calendar(stored):
     assert total == payments
 
 
-def test_large_loan_spreads_over_blocks(stored, monkeypatch):
+def test_large_loan_spreads_over_blocks(stored):
     numbers = stored["bill"].filter("LoanID = 'hot'")
-    blocks = numbers.groupBy(F.floor(F.col("PaymentNumber") / 4096)).count().collect()
+    with scans.rows_per_block(1024):
+        cut = align.bill_cuts(stored["bill"])
+        blocks = (
+            scans.in_blocks(numbers, cut, "PaymentNumber").groupBy("_block").count().collect()
+        )
+        followed = {r.PaymentNumber: r for r in align.next_bill_date(numbers).collect()}
     assert len(blocks) >= 5
-    assert max(row["count"] for row in blocks) <= 4096
-    followed = {r.PaymentNumber: r for r in align.next_bill_date(numbers).collect()}
+    assert max(row["count"] for row in blocks) <= 8 * 1024
     ordered = sorted(followed)
     for number, following in zip(ordered, ordered[1:]):
         assert followed[number].PaymentDateNext == followed[following].PaymentDate
     assert followed[ordered[-1]].PaymentDateNext == date(9999, 12, 31)
 
 
-def test_a_loan_of_many_statements_is_totalled_in_blocks(stored, sort_merge, monkeypatch):
-    blocked = ledger(stored, ordered=False)
+def test_cuts_are_bounded(stored, monkeypatch):
+    monkeypatch.setattr(scans, "CUTS_OF_ONE", 40)
+    monkeypatch.setattr(scans, "CUTS", 60)
+    with scans.rows_per_block(2):
+        cut = align.bill_cuts(stored["bill"])
+        rows = {r.LoanID: len(r._cuts) for r in cut.collect()}
+        assert sum(rows.values()) <= 60 and 20 <= rows["hot"] <= 40
+        blocked = totals.bill_running_totals(stored["bill"]).filter("LoanID = 'hot'")
+        blocked = sorted(map(repr, blocked.collect()))
+    whole = totals.bill_running_totals(stored["bill"]).filter("LoanID = 'hot'")
+    assert blocked == sorted(map(repr, whole.collect()))
+
+
+@pytest.mark.parametrize("size", [64, 1024])
+def test_a_loan_of_many_statements_is_totalled_in_blocks(stored, sort_merge, size):
+    with scans.rows_per_block(size):
+        blocked = ledger(stored, ordered=False)
     windows = re.findall(r"Window \[sum[^\n]*windowspecdefinition\(([^\n]*?) ASC", plan(blocked))
-    assert all("_block" in w or "_of" in w for w in windows if "MonthNumber" in w)
+    assert windows and all("_block" in w for w in windows if "MonthNumber" in w)
     rows = sorted(map(repr, blocked.collect()))
-    for module in (scans, align):
-        monkeypatch.setattr(module, "SPAN", 1 << 30)
     whole = sorted(map(repr, ledger(stored, ordered=False).collect()))
     assert [(a, b) for a, b in zip(rows, whole) if a != b][:2] == []
     assert len(rows) == len(whole)
 
 
-def test_bucketed_payments_and_terms_are_not_shuffled(spark, stored, sort_merge, one_block):
+def test_disordered_bills_of_one_loan_are_many_tasks_work(spark, table, sort_merge):
+    """10,000 bills whose dates alternate between two rising series, a year apart."""
+    first = date(2000, 1, 1).toordinal()
+    day = [date.fromordinal(first + n // 4 + 365 * (n % 2)) for n in range(10_000)]
+    bill = table(
+        "bill", [{"LoanID": "hot", "PaymentNumber": n, "PaymentDate": d} for n, d in enumerate(day)]
+    )
+    pay = table(
+        "pay", [{"LoanID": "hot", "PaymentDate": date.fromordinal(first + 9 * n)} for n in range(300)]
+    )
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    with scans.rows_per_block(512):
+        placed = align.placed_dates(pay, bill)
+    assert not re.search(r"SortMergeJoin \[LoanID#\d+\]", plan(placed))
+    tasks = placed.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset(key)
+    assert len(tasks) > 1
+    total = sum(t["count"] for t in tasks)
+    assert max(t["count"] for t in tasks) < 0.7 * total
+    expected = sum(
+        1
+        for n in range(300)
+        for a, b in zip(day, [*day[1:], date(9999, 12, 31)])
+        if a <= date.fromordinal(first + 9 * n) < b
+    )
+    assert total == expected
+
+
+def test_bucketed_payments_and_terms_are_not_shuffled(spark, stored, sort_merge):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     inputs = {}
     for name, frame in stored.items():
         tables.save_bucketed(frame, f"bucketed_{name}", buckets)
         inputs[name] = spark.table(f"bucketed_{name}")
     text = plan(ledger(inputs, ordered=False))
-    # What is shuffled comes from the bills: by block, then by loan.
-    assert "PaymentDate" not in "".join(re.findall(r"Exchange hashpartitioning[^\n]*", text))
+    # Payments are collapsed where they lie; shuffled are days, by piece, and never the terms.
+    shuffled = "\n".join(re.findall(r"Exchange hashpartitioning[^\n]*", text))
+    assert "PaymentDate#" not in shuffled
     for shuffle in re.finditer(r"Exchange hashpartitioning", text):
         scan = re.search(r"ReadSchema: struct<([^>]*)>", text[shuffle.end() :]).group(1)
-        assert "PaymentNumber" in scan
+        assert "Classification" not in scan and "AccountStatus" not in scan
     rows = sorted(map(repr, ledger(inputs).collect()))
     assert rows == sorted(map(repr, ledger(stored).collect()))

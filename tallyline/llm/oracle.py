@@ -212,10 +212,57 @@ from placed
 """
 
 
+def _vector_codes(parts: int = 8, width: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds one after the other, each part against each entry."""
+    xs = [f"x{i}" for i in range(width)]
+    distance = " + ".join(f"(a.{x} - b.{x})::hugeint * (a.{x} - b.{x})" for x in xs)
+    cut = ", ".join(f"v[p * {width} + {i + 1}] as {x}" for i, x in enumerate(xs))
+    # Rounded down, also below zero.
+    mean = ", ".join(f"(sum({x}) - (((sum({x}) % count(*)) + count(*)) % count(*))) // count(*) as {x}" for x in xs)
+
+    def assigned(i: int) -> str:
+        return f"""nearest{i} as materialized (
+    select r, p, min({distance}) as d, arg_min(e, ({distance}) * {entries} + e) as e
+    from parts a join book{i} b using (p) group by r, p
+)"""
+
+    steps = [f"book0 as materialized (select r - 1 as e, p, {', '.join(xs)} from parts where r <= {entries})"]
+    for i in range(rounds):
+        steps.append(assigned(i))
+        steps.append(f"""book{i + 1} as materialized (
+    select e, p, {", ".join(f"coalesce(n.{x}, b.{x})::bigint as {x}" for x in xs)}
+    from book{i} b left join (
+        select e, p, {mean} from nearest{i} join parts using (r, p) group by e, p
+    ) n using (e, p)
+)""")
+    steps.append(assigned(rounds))
+    return f"""
+with kept as (
+    select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label,
+        list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as v
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x) or abs(x) >= 32768)) = 0
+), parts as materialized (
+    select r, p, {cut} from kept, range({parts}) as t(p)
+), {", ".join(steps)}, coded as (
+    select r, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error
+    from nearest{rounds} group by r
+), digest as (
+    select sha256(string_agg(concat_ws(',', {", ".join(xs)}), ',' order by p, e)) as codebooks_sha256
+    from book{rounds}
+)
+select vec_id, code, error,
+    (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (r), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": _URL_FILTERS,
         "op8_substring_dedup": _SUBSTRING_DEDUP,
         "op9_chat_formatting": _CHAT_FORMATTING,
         "op10_quality_rules": _QUALITY_RULES,
+        "op12_vector_codes": _vector_codes(),
     }

@@ -20,6 +20,7 @@ from tallyline.llm import (
     tokens,
     toxicity,
     url_filters,
+    vector_codes,
 )
 from tallyline.llm.common import documents, labels, remainder
 
@@ -181,3 +182,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules.passes().alias("kept"),
         "failures",
     )
+
+
+@_query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector and what it loses."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes, _ = vector_codes.compressed(vectors.select("vec_id", "embedding", "label"))
+    return codes.select("vec_id", "code", "error", "label_error", "codebooks_sha256")

@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_oracle(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     df = driver.queries()[name](spark, SF_DIR)
     result = duck.execute(driver.oracle_sql()[name])
@@ -32,7 +32,7 @@ def test_query_equals_oracle(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in queries.queries()}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ["op1_url_filters", "op9_chat_formatting", "op10_quality_rules"])

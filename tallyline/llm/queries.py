@@ -16,6 +16,7 @@ from tallyline.llm import (
     quality,
     rules,
     simhash,
+    spelling,
     substring,
     tokens,
     toxicity,
@@ -190,3 +191,9 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     codes, _ = vector_codes.compressed(vectors.select("vec_id", "embedding", "label"))
     return codes.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the word it is a variant of."""
+    return spelling.variants(documents(spark, sf_dir).select("doc_id", "text"))

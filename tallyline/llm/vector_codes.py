@@ -179,13 +179,14 @@ def compressed(
     first = _first(usable, 1)
     size = len(first[0]) if first else 0
     usable = usable.filter(F.size("v") == size)
-    starts = np.array(_first(usable, ENTRIES), dtype=np.int64).reshape(-1, max(size, 1))
-    book = _cut(starts, PARTS).swapaxes(0, 1)
     if first:
+        starts = np.array(_first(usable, ENTRIES), dtype=np.int64)
+        book = _cut(starts, PARTS).swapaxes(0, 1)
         forests = stored(trees(usable, size), "forests")
         book = fit(forests, book)
         codes = stored(encoded(forests, book), "codes")
     else:
+        book = np.zeros((PARTS, 0, 0), dtype=np.int64)
         codes = spark.createDataFrame([], "vec_id long, label string, code string, error long")
     totals = codes.groupBy("label").agg(F.sum("error").alias("label_error"))
     totals = totals.withColumnRenamed("label", "_label")

@@ -11,6 +11,7 @@ from public_tokenizers import path as tokenizer
 from tallyline.llm import (
     chat,
     decontamination,
+    mixing,
     oracle,
     packing,
     quality,
@@ -185,6 +186,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @_query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The code of every vector and what it loses."""

@@ -292,7 +292,7 @@ def copies_of(
         mix.groupBy("doc_id", "source", "hash")
         .agg(F.sum("copies").alias("_copies"))
         .filter("_copies > 0")
-        .select(F.struct("doc_id", "source", "hash").alias("_unit"), "_copies")
+        .select(F.struct("doc_id", "source", "hash").alias("_wanted"), "_copies")
     )
     unit = F.struct(
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -302,7 +302,7 @@ def copies_of(
     others = [c for c in docs.columns]
     once = docs.select(unit.alias("_unit"), F.struct(*others).alias("_row")).groupBy("_unit")
     taken = once.agg(F.any_value("_row").alias("_row")).join(
-        wanted, F.col("_unit").eqNullSafe(wanted["_unit"])
+        wanted, F.col("_unit").eqNullSafe(F.col("_wanted"))
     )
     number = F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")
     return taken.select(*[F.col("_row").getField(c).alias(c) for c in others], number)

@@ -71,7 +71,7 @@ def test_sources_come_near_their_targets(spark, monkeypatch, block):
         assert abs(taken[source] - targets[source]) <= max(60, 0.01 * targets[source])
         # The documents too, up to the landing.
         if sizes[source]:
-            assert abs(copies[source] - n[source] * targets[source] / sizes[source]) <= 0.02 * n[source] + 3
+            assert abs(copies[source] - n[source] * targets[source] / sizes[source]) <= 0.05 * n[source] + 8
 
 
 def test_reruns_agree_however_rows_lie(spark, monkeypatch):

@@ -71,9 +71,29 @@ def text_of(rng, words, n):
     return rng.choice([" ", ", ", "1", "ā"]).join(out)
 
 
-@pytest.mark.parametrize("crowd", [64, 1])
-def test_variants_equal_all_pairs(documents, monkeypatch, crowd):
+def here(crowd, together, width):
+    """The meeting of words in a worker that has these sizes."""
+    meet = spelling._meet
+
+    def sized(batches):
+        from tallyline.llm import spelling as own
+
+        own.CROWD, own.TOGETHER, own.WIDTH = crowd, together, width
+        try:
+            yield from meet(batches)
+        finally:
+            own.CROWD, own.TOGETHER, own.WIDTH = 24, 1 << 18, 32
+
+    return sized
+
+
+@pytest.mark.parametrize("crowd, together, width", [(24, 1 << 18, 32), (1, 1 << 18, 8), (1, 8, 32)])
+def test_variants_equal_all_pairs(documents, monkeypatch, crowd, together, width):
     monkeypatch.setattr(spelling, "CROWD", crowd)
+    monkeypatch.setattr(spelling, "WIDTH", width)
+    monkeypatch.setattr(spelling, "TOGETHER", together)
+    # The functions as they are now, with these sizes, go to the workers.
+    monkeypatch.setattr(spelling, "_meet", here(crowd, together, width))
     rng = random.Random(crowd)
     words = ["".join(rng.choice("abcdeéñlr") for _ in range(rng.randrange(6, 12))) for _ in range(60)]
     words += ["".join(rng.sample("abcdefgh", 8)) for _ in range(40)]  # anagrams

@@ -236,7 +236,7 @@ def mixed(
     ``copies`` says how often the mix takes the document and ``taken`` how many words that is.
     """
     ship(docs.sparkSession)
-    sized = stored(sizes(docs, doc_id, text, source), "sizes", narrow=True)
+    sized = stored(sizes(docs, doc_id, text, source), "sizes")
     targets = with_targets(numbered_sources(sized, weights), most).select(
         F.col("source").alias("_source"), "source_no", "source_size", "target"
     )
@@ -253,14 +253,14 @@ def mixed(
         "target",
         F.floor(times).alias("whole"),
     )
-    open_, level, decided = stored(units, "units", narrow=True), 0, []
+    open_, level, decided = stored(units, "units"), 0, []
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     while True:
         decided.append(open_.filter(~undecided))
         open_ = open_.filter(undecided)
         if open_.isEmpty():
             break
-        open_, level = stored(_flown(open_, level), "flown", narrow=True), level + 1
+        open_, level = stored(_flown(open_, level), "flown"), level + 1
     rows = decided[0]
     for more in decided[1:]:
         rows = rows.unionByName(more)

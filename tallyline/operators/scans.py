@@ -115,6 +115,8 @@ def running_totals(
     frame: str = ROWS,
     key: str = "LoanID",
     cut: DataFrame | None = None,
+    carry_from: DataFrame | None = None,
+    in_range: bool | None = None,
 ) -> DataFrame:
     """Add one running sum per entry of ``totals``, in ``order`` within ``key``.
 
@@ -122,13 +124,25 @@ def running_totals(
     themselves. ``block`` gives the block of a row where it is known: with ``cut`` as found by it,
     alone where a calendar or the like divides all keys. It must not decrease along ``order``.
     RANGE and BEFORE take a single integer sort column. A sum over no non-NULL value is NULL.
+
+    ``carry_from`` are the same rows by a shorter way, for the pass over loans that are cut. For rows that come
+    from a join by key, ``in_range`` asks for a shuffle by key and block, as theirs would do for the windows
+    and leave a large key in one task. True deals them out in ranges and keeps ``_block``: a sort by key, block
+    and ``order`` then needs no other shuffle.
     """
     if block is None:
         cut = cuts(rows, order[:1], key) if cut is None else cut
         blocked = in_blocks(rows, cut, order[0], key)
     else:
         blocked = rows.withColumn("_block", block)
-    divided = blocked if cut is None else blocked.join(_few(cut.select(key)), key, "left_semi")
+    divided = blocked
+    if cut is not None:
+        if carry_from is not None:
+            divided = in_blocks(carry_from, cut, order[0], key)
+        divided = divided.join(_few(cut.select(key)), key, "left_semi")
+    if in_range is not None:
+        deal = blocked.repartitionByRange if in_range else blocked.repartition
+        blocked = deal(key, "_block")
 
     within = Window.partitionBy(key, "_block").orderBy(*order)
     within = {
@@ -162,5 +176,5 @@ def running_totals(
     if cut is not None:
         carried = _few(carried)
     return local.join(carried, [key, "_block"], "left").select(
-        *rows.columns, *[total(name) for name in totals]
+        *rows.columns, *["_block"][: int(in_range or False)], *[total(name) for name in totals]
     )

@@ -11,6 +11,9 @@ from tallyline.functions import columns as c
 from tallyline.sources.contracts import one_row_per
 
 
+TERMS = ("Tier", "Term", "LoanAmount", "InterestRate")
+
+
 def _credit(cb: DataFrame) -> DataFrame:
     return one_row_per(cb.select("LoanID", "AccountStatus", "TermsDuration"), "LoanID", "cb")
 

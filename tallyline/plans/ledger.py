@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import columns as c
 from tallyline.operators.align import align_payments_to_statements, bill_cuts
 from tallyline.operators.scans import running_totals
-from tallyline.operators.terms import with_terms
+from tallyline.operators.terms import TERMS, with_terms
 from tallyline.sources.contracts import MONEY
 
 # The running order within a loan; unique, as (LoanID, MonthNumber, Status) is
@@ -21,15 +21,9 @@ ORDER = ("MonthNumber", "PaymentDate", "EffectiveDate", "Status")
 _PAST_DUE_COUNT = "NumberOfStatementPastDue"
 
 
-def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
-    """Add the seven running totals to aligned payments.
-
-    A loan brings one row per statement and status. The totals run in the blocks that its bills
-    were placed in, so that a loan of many statements is several tasks' work. Only the payments of
-    loans that are cut are aligned a second time, for the sums of their blocks.
-    """
+def _totals() -> dict[str, Column]:
     status = F.col("Status")
-    totals = {
+    return {
         "PrincipalDue": c.amount_if(status != c.POSTED, "AmountPrincipal"),
         "InterestDue": c.amount_if(status != c.POSTED, "AmountInterest"),
         "PrincipalReceivedToDate": c.amount_if(status == c.POSTED, "AmountPrincipal"),
@@ -38,14 +32,6 @@ def _cumulated(aligned: DataFrame, bill: DataFrame) -> DataFrame:
         "ScheduledInterestReceivedToDate": F.col("AmountInterest"),
         _PAST_DUE_COUNT: F.when(status == c.PAST_DUE, 1).otherwise(0),
     }
-    rows = running_totals(aligned, totals, list(ORDER), cut=bill_cuts(bill))
-    return rows.select(
-        *aligned.columns,
-        *[
-            F.col(name).cast("bigint" if name == _PAST_DUE_COUNT else MONEY).alias(name)
-            for name in totals
-        ],
-    )
 
 
 def _ledger(
@@ -55,35 +41,46 @@ def _ledger(
     cb: DataFrame,
     principal: Column,
     interest: Column,
+    ordered: bool,
 ) -> DataFrame:
-    entries = _cumulated(aligned, bill).select(
+    """Aligned payments with their terms and the seven running totals.
+
+    A loan brings one row per statement and status. The totals run in the blocks that its bills
+    were placed in, so that a loan of many statements is several tasks' work. Only the payments of
+    loans that are cut are aligned a second time, for the sums of their blocks.
+
+    The terms join first, so that one shuffle by ranges of loan and block serves both the totals
+    and the order of the result, where a join after it would undo its order.
+    """
+    totals = _totals()
+    rows = running_totals(
+        with_terms(aligned, loan, cb),
+        totals,
+        list(ORDER),
+        cut=bill_cuts(bill),
+        carry_from=aligned,
+        in_range=ordered,
+    )
+    ledger = rows.select(
         "LoanID",
+        *["_block"][: int(ordered)],
         "MonthNumber",
         F.col("PaymentDate").alias("StatementDueDate"),
         "EffectiveDate",
         principal.cast(MONEY).alias("AmountPrincipal"),
         interest.cast(MONEY).alias("AmountInterest"),
-        "PrincipalDue",
-        "InterestDue",
-        "PrincipalReceivedToDate",
-        "InterestReceivedToDate",
-        "ScheduledPrincipalReceivedToDate",
-        "ScheduledInterestReceivedToDate",
-        "NumberOfStatementPastDue",
+        *[
+            F.col(name).cast("bigint" if name == _PAST_DUE_COUNT else MONEY).alias(name)
+            for name in totals
+        ],
         "Status",
+        *TERMS,
     )
-    return with_terms(entries, loan, cb)
-
-
-def _sorted(ledger: DataFrame) -> DataFrame:
-    """The ledger in its global order.
-
-    Finding the ranges of a global sort runs the plan below it once more, down
-    to the nearest shuffle. The shuffle put there makes that a read of finished
-    rows, where it would be all joins and windows since the shuffle by loan.
-    """
-    order = ("LoanID", "MonthNumber", "StatementDueDate", "EffectiveDate", "Status")
-    return ledger.repartition("LoanID", "MonthNumber").orderBy(*order)
+    if not ordered:
+        return ledger
+    # Blocks rise with the statement number, so this is the order of the loan's statements.
+    order = ("LoanID", "_block", "MonthNumber", "StatementDueDate", "EffectiveDate", "Status")
+    return ledger.orderBy(*order).drop("_block")
 
 
 def cumulative_ledger(
@@ -99,14 +96,13 @@ def cumulative_ledger(
     A group counts if its earliest payment lies before ``as_of`` (now if None),
     and then counts whole; the cut is after the collapse and before the totals.
     The shown amounts are zero unless posted or scheduled, while the totals use
-    all amounts. ``ordered=False`` saves the final range shuffle.
+    all amounts. ``ordered=False`` leaves the rows unsorted, after as many shuffles.
     """
     aligned = align_payments_to_statements(pay, bill).filter(
         F.col("PaymentDate") < F.lit(c.as_of_cut(as_of))
     )
     principal, interest = c.shown_amount("AmountPrincipal"), c.shown_amount("AmountInterest")
-    ledger = _ledger(aligned, bill, loan, cb, principal, interest)
-    return _sorted(ledger) if ordered else ledger
+    return _ledger(aligned, bill, loan, cb, principal, interest, ordered)
 
 
 def analysis_ledger(
@@ -126,8 +122,8 @@ def analysis_ledger(
         pay = pay.filter(F.col("LoanID") == loan_id)
         bill = bill.filter(F.col("LoanID") == loan_id)
     aligned = align_payments_to_statements(pay, bill)
-    ledger = _ledger(aligned, bill, loan, cb, F.col("AmountPrincipal"), F.col("AmountInterest"))
-    return _sorted(ledger) if ordered else ledger
+    amounts = F.col("AmountPrincipal"), F.col("AmountInterest")
+    return _ledger(aligned, bill, loan, cb, *amounts, ordered)
 
 
 def masked_amounts(pay: DataFrame, bill: DataFrame) -> DataFrame:

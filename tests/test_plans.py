@@ -262,6 +262,17 @@ def test_disordered_bills_of_one_loan_are_many_tasks_work(spark, table, sort_mer
     assert total == expected
 
 
+def test_the_order_of_the_ledger_costs_no_shuffle(stored, sort_merge):
+    ordered, unordered = plan(ledger(stored)), plan(ledger(stored, ordered=False))
+    assert ordered.count("Exchange ") == unordered.count("Exchange ")
+    assert ordered.count("Exchange rangepartitioning(LoanID") == 1
+    with scans.rows_per_block(64):
+        rows = [tuple(r)[:5] for r in ledger(stored).collect()]
+    # As the source sorts: NULLs first.
+    in_order = sorted(rows, key=lambda r: [(v is not None, v) for v in (r[0], r[1], r[2], r[3])])
+    assert [r[:4] for r in rows] == [r[:4] for r in in_order]
+
+
 def test_bucketed_payments_and_terms_are_not_shuffled(spark, stored, sort_merge):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     inputs = {}

@@ -40,13 +40,16 @@ def billed_before(bill: DataFrame) -> DataFrame:
     )
 
 
-def contiguous_totals(rows: DataFrame, number: str, amounts: dict[str, str]) -> DataFrame:
+def contiguous_totals(
+    rows: DataFrame, number: str, amounts: dict[str, str], levels: int | None = None
+) -> DataFrame:
     """Running totals along the chain of numbers 1, 2, 3, ... of each loan.
 
     The chain ends at the first missing number, and rows after it are left out;
     a loan without number 1 has no chain. From the first NULL amount on the
     total is NULL. ``amounts`` maps result names to amount columns. A number
-    that occurs twice is an error if the chain reaches it, and not beyond its end.
+    that occurs twice is an error if the chain reaches it, and not beyond its end. So is a chain
+    of more numbers than ``levels``.
     """
     # Equal numbers share a block and stand next to each other in it; the first counts.
     chained = rows.filter(F.col(number) >= 1)
@@ -65,6 +68,12 @@ def contiguous_totals(rows: DataFrame, number: str, amounts: dict[str, str]) ->
         F.col("_new") == 1,
         F.concat(F.lit(f"{number} occurs twice in loan "), F.col("LoanID")),
     )
+    if levels is not None:
+        ended = F.assert_true(
+            F.col(number) <= levels,
+            F.concat(F.lit(f"more than {levels} levels in loan "), F.col("LoanID")),
+        )
+        once = F.coalesce(once, ended)
     return scanned.filter(F.when(in_chain, once.isNull()).otherwise(F.lit(False))).select(
         *rows.columns,
         *[
@@ -74,12 +83,48 @@ def contiguous_totals(rows: DataFrame, number: str, amounts: dict[str, str]) ->
     )
 
 
-def bill_chain_totals(bill: DataFrame) -> DataFrame:
-    """Bill totals along the unbroken numbers from 1."""
+def bill_chain_totals(bill: DataFrame, levels: int | None = None) -> DataFrame:
+    """Bill totals along the unbroken numbers from 1, an error past ``levels`` numbers."""
     return contiguous_totals(
         bill,
         "PaymentNumber",
         {"SumPrincipal": "PrincipalPayment", "SumInterest": "InterestPayment"},
+        levels,
+    )
+
+
+# Fixed value: the depth at which the source gives a recursion up.
+MAX_LEVELS = 100
+
+
+def bill_chain_of_loan(bill: DataFrame, loan_id: str, levels: int = MAX_LEVELS) -> DataFrame:
+    """The chain of one loan as the source finds it, step by step: each bill joins its predecessor.
+
+    A check on ``bill_chain_totals``, and its meaning written down: a loan's levels run one after the
+    other, and a chain of more of them is an error.
+    """
+    own = bill.filter(F.col("LoanID") == loan_id)
+    carried = "LoanID, PaymentNumber, PaymentDate, PrincipalPayment, {}, InterestPayment, {}"
+    first = carried.format(
+        f"cast(PrincipalPayment as {MONEY})", f"cast(InterestPayment as {MONEY})"
+    )
+    following = ", ".join(
+        [
+            "y.LoanID, y.PaymentNumber, y.PaymentDate, y.PrincipalPayment",
+            f"cast(x.SumPrincipal + y.PrincipalPayment as {MONEY}), y.InterestPayment",
+            f"cast(x.SumInterest + y.InterestPayment as {MONEY})",
+        ]
+    )
+    return bill.sparkSession.sql(
+        f"""
+with recursive x({carried.format("SumPrincipal", "SumInterest")}) max recursion level {levels} as (
+    select {first} from {{own}} where PaymentNumber = 1
+    union all
+    select {following} from x join {{own}} y
+        on y.LoanID = x.LoanID and y.PaymentNumber = x.PaymentNumber + 1
+)
+select * from x""",
+        own=own,
     )
 
 

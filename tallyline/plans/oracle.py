@@ -285,6 +285,7 @@ _SHAPES = {
         "case l_returnflag when 'A'":
             "case case when l_partkey % 7 <> 0 then l_returnflag end when 'A'",
     },
+    "spelled_ids": {"cast(o_custkey as varchar) as LoanID": "'L' || o_custkey as LoanID"},
 }
 
 
@@ -440,7 +441,16 @@ def oracle_sql() -> dict[str, str]:
         "newest_activity": _ACTIVITY,
         "newest_activity_of_one_loan": _one_loan(_ACTIVITY),
     }
+    found |= {
+        "ledger_function": found["cumulative_ledger_as_of"],
+        "ledger_function_of_one_loan": found["ledger_of_one_loan"],
+        "bill_chain_of_loan": _one_loan(found["bill_chain_totals"]),
+        "stored_statements": found["statement_spine_per_loan"],
+        "copied_payments": _with("select * from pay"),
+        "align_payments": found["align_payments_to_statements"],
+    }
     for name in (
+        "align_payments",
         "align_payments_to_statements",
         "cumulative_ledger_as_of",
         "bill_running_totals",

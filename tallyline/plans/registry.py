@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,10 @@ from tallyline.functions.columns import day_of
 from tallyline.operators import align, lookup, quality, snapshot, terms, totals
 from tallyline.operators.scans import rows_per_block
 from tallyline.plans.ledger import analysis_ledger, cumulative_ledger, masked_amounts
+from tallyline.plans.routines import register_functions
 from tallyline.plans.snapshot import POSTING_DAYS, ledger_snapshot
+from tallyline.plans.statement_table import store_statements, update_months
+from tallyline.sources import tables
 from tallyline.sources.analogue import AS_OF, Analogue
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +33,7 @@ SHAPES = {
     "large_loans": {"loans": 2},
     "disordered_bills": {"by_key": True},
     "unknown_values": {"unknown": True},
+    "spelled_ids": {"spelled": True},
 }
 
 # Large loans of the smallest directories have several blocks too.
@@ -52,6 +58,15 @@ def _also(*shapes: str) -> Callable:
     return register
 
 
+# Queries that write a table as they are built.
+STORED: set[str] = set()
+
+
+def _stores(function: Callable[[Analogue], DataFrame]) -> Callable[[Analogue], DataFrame]:
+    STORED.add(function.__name__)
+    return function
+
+
 def queries() -> dict[str, Query]:
     def bound(function: Callable[[Analogue], DataFrame], shape: dict) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +105,16 @@ def align_payments_to_statements(a: Analogue) -> DataFrame:
 # Cumulative ledger
 
 
+@_also("spelled_ids")
+def align_payments(a: Analogue) -> DataFrame:
+    """Aligned over ids that only the collation of the source takes for the same."""
+    spelled = F.upper(F.rtrim(F.col("LoanID").cast("string")))
+    aligned = align.align_payments_to_statements(a.pay(months=False), a.bill())
+    return aligned.withColumn("LoanID", F.expr("cast(LoanID as string collate UTF8_BINARY)")).withColumn(
+        "LoanID", spelled
+    )
+
+
 @_also("large_loans", "disordered_bills", "unknown_values")
 @_query
 def cumulative_ledger_as_of(a: Analogue) -> DataFrame:
@@ -111,6 +136,24 @@ def ledger_masked_amounts(a: Analogue) -> DataFrame:
     return masked_amounts(a.pay(months=False), a.bill())
 
 
+def _with_functions(a: Analogue) -> SparkSession:
+    pay = a.pay(months=False)
+    register_functions(pay.sparkSession, pay, a.bill(), a.loan(), a.cb())
+    return pay.sparkSession
+
+
+@_query
+def ledger_function(a: Analogue) -> DataFrame:
+    return _with_functions(a).sql(
+        f"select * from cumulative_ledger(as_of => timestamp_ntz'{AS_OF}')"
+    )
+
+
+@_query
+def ledger_function_of_one_loan(a: Analogue) -> DataFrame:
+    return _with_functions(a).sql(f"select * from ledger_analysis(loan_id => '{LOAN}')")
+
+
 # Terms and status
 
 
@@ -167,6 +210,11 @@ def bill_chain_totals(a: Analogue) -> DataFrame:
     return totals.bill_chain_totals(a.bill()).orderBy("LoanID", "PaymentNumber")
 
 
+@_query
+def bill_chain_of_loan(a: Analogue) -> DataFrame:
+    return totals.bill_chain_of_loan(a.bill(), LOAN)
+
+
 @_query
 def payment_running_totals(a: Analogue) -> DataFrame:
     return totals.payment_running_totals(a.pay()).orderBy("LoanID", "MonthNumber")
@@ -233,6 +281,35 @@ def _snapshot(a: Analogue, per_loan: bool) -> DataFrame:
     )
 
 
+# Stored tables
+
+
+@_stores
+@_query
+def stored_statements(a: Analogue) -> DataFrame:
+    """The statement spine as a table, filled with months and then brought up to date in place."""
+    pay, bill = a.pay(), a.bill()
+    spark, table = pay.sparkSession, f"statements_{uuid.uuid4().hex}"
+    store_statements(bill, table, AS_OF, path=tables.new_folder(spark))
+    update_months(pay, table, datetime(1996, 1, 1))
+    update_months(pay, table, AS_OF)
+    return spark.table(table).drop(tables.BUCKET)
+
+
+@_stores
+@_query
+def copied_payments(a: Analogue) -> DataFrame:
+    """Payments copied to a table of another database, added to, and read through a view."""
+    pay = a.pay()
+    spark, name, folder = pay.sparkSession, uuid.uuid4().hex, tables.new_folder(pay.sparkSession)
+    spark.sql(f"create database if not exists copies_{name} location '{folder}'")
+    early = "PaymentDate < date'1995-06-01'"
+    tables.save_new(pay.filter(early), f"copies_{name}.payments", f"{folder}/payments")
+    tables.append(pay.filter(f"not coalesce({early}, false)"), f"copies_{name}.payments")
+    spark.table(f"copies_{name}.payments").createOrReplaceTempView(f"payments_{name}")
+    return tables.read_table(spark, "pay", f"payments_{name}")
+
+
 # Checks
 
 

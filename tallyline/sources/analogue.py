@@ -94,7 +94,8 @@ class Analogue:
 
     ``loans`` deals the orders out to so many loans instead of to customers, so that each
     is large. ``by_key`` numbers the bills by order key, so that dates do not rise with the
-    number. ``unknown`` leaves some statuses and payment dates out.
+    number. ``unknown`` leaves some statuses and payment dates out. ``spelled`` spells the ids of bills
+    and payments differently, as one collation takes for the same.
     """
 
     def __init__(
@@ -104,12 +105,14 @@ class Analogue:
         loans: int | None = None,
         by_key: bool = False,
         unknown: bool = False,
+        spelled: bool = False,
     ):
         self._spark = spark
         self._dir = sf_dir
         self._loan = f"o_custkey % {loans}" if loans else "o_custkey"
         self._by_key = by_key
         self._payment = _PAY | (_UNKNOWN if unknown else {})
+        self._spelled = spelled
 
     def _table(self, name: str) -> DataFrame:
         return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")
@@ -136,14 +139,23 @@ class Analogue:
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
     def bill(self) -> DataFrame:
-        return _derived(self._numbered_orders(), _BILL, contracts.BILL)
+        return self._respelled(
+            _derived(self._numbered_orders(), _BILL, contracts.BILL), "concat('L', LoanID)"
+        )
+
+    def _respelled(self, rows: DataFrame, spelling: str) -> DataFrame:
+        if not self._spelled:
+            return rows
+        return contracts.same_spelling(rows.withColumn("LoanID", F.expr(spelling)))
 
     def pay(self, months: bool = True) -> DataFrame:
         """Payments; ``months=False`` leaves out ``MonthNumber``."""
-        if months:
-            return _derived(self._lines(self._numbered_orders()), self._payment, contracts.PAY)
-        columns = {name: value for name, value in self._payment.items() if name != "MonthNumber"}
-        return _derived(self._lines(self._orders()), columns, contracts.PAY)
+        orders, columns = self._numbered_orders(), self._payment
+        if not months:
+            orders = self._orders()
+            columns = {name: value for name, value in columns.items() if name != "MonthNumber"}
+        rows = _derived(self._lines(orders), columns, contracts.PAY)
+        return self._respelled(rows, "concat('l', LoanID, if(day(PaymentDate) % 2 = 0, '  ', ''))")
 
     def loan(self) -> DataFrame:
         return _derived(self._table("customer"), _LOAN, contracts.LOAN)

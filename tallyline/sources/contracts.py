@@ -108,6 +108,20 @@ def conform(
     )
 
 
+# How the source compares strings: without regard to case or trailing blanks.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def same_spelling(df: DataFrame) -> DataFrame:
+    """``df`` with loan ids that equal each other however they are spelled.
+
+    Joins, groups, windows and lookups over them follow; a result shows an id as one of its spellings.
+    A filter on such an id is not handed to the files, which know bytes alone, so this is an option
+    for sources that spell ids in several ways.
+    """
+    return df.withColumn("LoanID", F.expr(f"cast(LoanID as string collate {COLLATION})"))
+
+
 def one_row_per(df: DataFrame, key: str, what: str) -> DataFrame:
     """``df`` unchanged, but the query fails if ``key`` occurs twice.
 

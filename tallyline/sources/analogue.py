@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import number_block, running_totals
+from tallyline.operators.scans import running_totals
 from tallyline.sources import contracts
 from tallyline.sources.contracts import Contract, conform
 
@@ -126,13 +126,9 @@ class Analogue:
         )
 
     def _numbered_orders(self) -> DataFrame:
-        """Orders numbered within the loan, counted in blocks of a month or of order keys."""
-        by_date = ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month")
-        by_key = ["o_orderkey"], number_block("o_orderkey")
-        order, block = by_key if self._by_key else by_date
-        return running_totals(
-            self._orders(), {"number": F.lit(1)}, order=order, block=block, key="o_custkey"
-        )
+        """Orders numbered within the loan."""
+        order = ["o_orderkey"] if self._by_key else ["o_orderdate", "o_orderkey"]
+        return running_totals(self._orders(), {"number": F.lit(1)}, order=order, key="o_custkey")
 
     def _lines(self, orders: DataFrame) -> DataFrame:
         lines = self._table("lineitem")

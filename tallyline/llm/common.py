@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import pathlib
+import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,6 +99,29 @@ def stored(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Have idle Python workers give back the tables and buffers of the operator they served last.
+
+    Workers outlive their tasks. Between the stages of a pipeline, what one stage's operator caches
+    for its next task is only in the way of the next stage's.
+    """
+    ship(spark)
+
+    def release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, module in list(sys.modules.items()):
+            if name.startswith(f"{__package__}."):
+                for held in ("_tokenizers", "_models"):
+                    getattr(module, held, {}).clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        yield from batches
+
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(release, "id long").count()
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8, without decoding them."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import decontamination, packing, simhash, substring, toxicity
-from tallyline.llm.common import documents, labels, remainder, stored
+from tallyline.llm.common import documents, labels, released, remainder, stored
 
 # Tokens of a sequence.
 CONTEXT = 4096
@@ -40,29 +40,43 @@ def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by the labels outside the held-out fold."""
+    released(spark)
     known = labels(spark, sf_dir).filter(remainder("doc_id", 4) != 2)
     scorer = toxicity.fit(docs, known)
     return _restored(toxicity.scored(_carried(docs), scorer).filter("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates, once."""
-    groups = simhash.near_duplicates(docs)
+    """The document of the smallest id of each group of near duplicates, once.
+
+    What stays is settled by id and fingerprint. Texts of ids with one row, as a rule all, meet the
+    ids that stay by one join; only those of ids with several are compared.
+    """
+    released(spark)
+    groups = simhash.near_duplicates(docs).filter("doc_id is not null")
+    first = F.col("doc_id") == F.col("component_id")
+    by_id = stored(
+        groups.groupBy("doc_id").agg(
+            F.count(F.lit(1)).alias("_rows"), F.collect_set(F.when(first, F.col("fp"))).alias("_first")
+        ),
+        "ids",
+    ).filter(F.size("_first") > 0)
+    carried = _carried(docs)
+    single = carried.join(by_id.filter("_rows = 1"), "doc_id", "left_semi")
     # An id may have several texts, of which only some are the first of their group.
-    first = groups.filter("doc_id = component_id").select("doc_id", F.col("fp").alias("_fp")).distinct()
-    once = (
-        _carried(docs)
-        .withColumn("_fp", simhash.fingerprint_of("text"))
-        .join(first, ["doc_id", "_fp"], "left_semi")
+    several = (
+        carried.join(by_id.filter("_rows > 1").select("doc_id", "_first"), "doc_id")
+        .filter(F.array_contains("_first", simhash.fingerprint_of("text")))
         .groupBy("doc_id")
         .agg(F.min_by(F.struct("text", "_others"), F.coalesce("text", F.lit(""))).alias("_row"))
         .select("doc_id", "_row.*")
     )
-    return _restored(once, docs).unionByName(docs.filter("doc_id is null"))
+    return _restored(single.unionByName(several), docs).unionByName(docs.filter("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that earlier ones hold in the same window; wholly cut ones go."""
+    released(spark)
     cut = substring.without_repeats(_carried(docs)).filter("n_words = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     kept = _restored(cut.withColumn("text", text), docs)
@@ -71,6 +85,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    released(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.with_matches(_carried(docs), items)
     return _restored(found.filter(F.size("matches") == 0), docs)
@@ -78,6 +93,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every piece and its place in a sequence."""
+    released(spark)
     pieces = packing.tokenised(
         docs.select("doc_id", "text"), tokenizer("word_bpe_49k.json"), CONTEXT
     )

@@ -56,17 +56,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = simhash.near_duplicates(docs).filter("doc_id is not null")
     first = F.col("doc_id") == F.col("component_id")
     by_id = stored(
-        groups.groupBy("doc_id").agg(
-            F.count(F.lit(1)).alias("_rows"), F.collect_set(F.when(first, F.col("fp"))).alias("_first")
-        ),
+        groups.groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(first).alias("_first"))
+        .filter("_first"),
         "ids",
-    ).filter(F.size("_first") > 0)
+    )
     carried = _carried(docs)
     single = carried.join(by_id.filter("_rows = 1"), "doc_id", "left_semi")
     # An id may have several texts, of which only some are the first of their group.
+    many = by_id.filter("_rows > 1")
+    kept = groups.filter(first).join(many, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("_fp"))
     several = (
-        carried.join(by_id.filter("_rows > 1").select("doc_id", "_first"), "doc_id")
-        .filter(F.array_contains("_first", simhash.fingerprint_of("text")))
+        carried.join(many, "doc_id", "left_semi")
+        .withColumn("_fp", simhash.fingerprint_of("text"))
+        .join(kept, ["doc_id", "_fp"], "left_semi")
         .groupBy("doc_id")
         .agg(F.min_by(F.struct("text", "_others"), F.coalesce("text", F.lit(""))).alias("_row"))
         .select("doc_id", "_row.*")

@@ -61,13 +61,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .filter("_first"),
         "ids",
     )
-    carried = _carried(docs)
-    single = carried.join(by_id.filter("_rows = 1"), "doc_id", "left_semi")
+    # Merged at any size: a broadcast that only small inputs allow would hide the shuffle of texts.
+    first_of = stored(_carried(docs).join(by_id.drop("_first").hint("merge"), "doc_id"), "first")
+    single = first_of.filter("_rows = 1").drop("_rows")
     # An id may have several texts, of which only some are the first of their group.
     many = by_id.filter("_rows > 1")
     kept = groups.filter(first).join(many, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("_fp"))
     several = (
-        carried.join(many, "doc_id", "left_semi")
+        first_of.filter("_rows > 1")
         .withColumn("_fp", simhash.fingerprint_of("text"))
         .join(kept, ["doc_id", "_fp"], "left_semi")
         .groupBy("doc_id")

@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +45,13 @@ HALF_G = 20.0
 # Terms that a task counts before it passes the counts on.
 HELD = 50_000
 NEIGHBOURS = 7
-BLOCK = 64
+BLOCK = 32
+# A term that one example in so many has is frequent.
+FREQUENT = 8
+# Blocks that are scored before bounds count.
+START = 8
+# Words whose rows a worker remembers.
+SEEN = 200_000
 # The weight of the term that all texts have, by the length of their words without additional weight.
 POOLED = 2.0
 # Added to distances, so that an equal example does not outvote all others.
@@ -78,33 +84,69 @@ class Vocabulary:
         self.idf = np.array([0.0 if term.endswith("*") else idf for term, idf, _ in terms])
         self.added = np.array([added for *_, added in terms])
         self.unknown = unknown
-        self._starts = {term[: STEMS[0]] for term in self.rows if term.endswith("*")}
-
-    def vector(self, text: str | None) -> tuple[list[int], list[float]]:
+        starts = [(term, row) for term, row in self.rows.items() if term.endswith("*")]
+        self._starts = {term: i for i, (term, _) in enumerate(starts)}
+        self._start_rows = np.array([row for _, row in starts], dtype=np.int64)
+        self._first = {term[: STEMS[0]] for term in self._starts}
+        # Words that were looked at, by number: their rows, and their beginnings.
+        self._seen: dict[str, int] = {}
+        self._row_of = self._starts_of = np.empty(0, dtype=np.int64)
+
+    def _forget(self) -> None:
+        self._seen.clear()
+        self._row_of = np.empty(SEEN, dtype=np.int64)
+        self._starts_of = np.empty((SEEN, len(STEMS)), dtype=np.int64)
+
+    def _look(self, word: str) -> int:
+        """The number of a word that is new here."""
+        number = self._seen[word] = len(self._seen)
+        self._row_of[number] = self.rows.get(word, -1)
+        self._starts_of[number] = -1
+        if word[: STEMS[0]] in self._first:
+            for i, size in enumerate(STEMS):
+                if len(word) > size:
+                    self._starts_of[number, i] = self._starts.get(word[:size] + "*", -1)
+        return number
+
+    def _looked_up(self, words: Iterable[str]) -> np.ndarray:
+        """The numbers of words, no more than are remembered."""
+        numbers = [self._seen.get(word) for word in words]
+        if None in numbers:
+            if len(self._seen) + len(words) > len(self._row_of):
+                self._forget()
+            numbers = [self._look(w) if (n := self._seen.get(w)) is None else n for w in words]
+        return np.array(numbers)
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The rows of a text and their weights at length one; none without words."""
         words = Counter(_WORD.findall((text or "").lower()))
         if not words:
-            return [], []
-        counts: Counter[int] = Counter()
-        others = 0.0
-        get = self.rows.get
-        for word, n in words.items():
-            if (row := get(word)) is not None:
-                counts[row] += n
-            else:
-                others += (self.unknown * (1 + math.log(n))) ** 2
-            if word[: STEMS[0]] in self._starts:
-                for size in STEMS:
-                    if len(word) > size and (row := get(word[:size] + "*")) is not None:
-                        counts[row] += n
-        rows = np.fromiter(counts.keys(), np.int64, len(counts))
-        often = 1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))
+            return np.empty(0, dtype=np.int64), np.empty(0)
+        times = np.fromiter(words.values(), np.float64, len(words))
+        own, starts = [], np.zeros(len(self._start_rows))
+        # Some words at a time, as many as are remembered.
+        for i in range(0, len(words), SEEN // 2):
+            part = words if len(words) <= SEEN // 2 else list(words)[i : i + SEEN // 2]
+            numbers = self._looked_up(part)
+            own.append(self._row_of[numbers])
+            found = self._starts_of[numbers]
+            at, _ = np.nonzero(found >= 0)
+            starts += np.bincount(
+                found[found >= 0], times[i : i + SEEN // 2][at], len(self._start_rows)
+            )
+        own = np.concatenate(own)
+        often = 1 + np.log(times)
+        known = own >= 0
+        others = self.unknown**2 * float(often[~known] @ often[~known])
+        begun = np.flatnonzero(starts)
+        rows = np.append(own[known], self._start_rows[begun])
+        often = np.append(often[known], 1 + np.log(starts[begun]))
         plain = often * self.idf[rows]
         length = 1 + math.log(words.total())
         scale = length / math.sqrt(float(plain @ plain) + others)
         weights = np.append(scale * plain + often * self.added[rows], POOLED * length)
         whole = math.sqrt(float(weights @ weights) + scale * scale * others)
-        return [*rows.tolist(), len(self.rows)], (weights / whole).tolist()
+        return np.append(rows, len(self.rows)), weights / whole
 
 
 def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -115,50 +157,64 @@ def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Examples by term and block. A cell is a term in a block that has it."""
+    """Examples by term and block.
+
+    Rare terms have postings. A term that many examples have is a row of a table of all
+    blocks instead, with its largest weight in each.
+    """
 
     ids: np.ndarray
     toxic: np.ndarray
     share: np.ndarray
-    cells: np.ndarray  # by term: where its cells begin
-    block: np.ndarray  # by cell
-    highest: np.ndarray  # by cell: the largest weight
-    first: np.ndarray  # by cell: where its postings begin
+    first: np.ndarray  # by term: where its postings begin; none for a frequent one
     example: np.ndarray
     weight: np.ndarray
+    place: np.ndarray  # by term: its row in the table, or -1
+    table: np.ndarray  # (blocks, frequent terms, BLOCK): weights
+    highest: np.ndarray  # (frequent terms, blocks)
+    blocks_scored: int = 0
 
     def nearest(self, rows: np.ndarray, weights: np.ndarray, k: int, without: int | None = None):
-        """The k examples of highest cosine, ties by their order, and the cosines."""
-        a, b = self.cells[rows], self.cells[rows + 1]
-        cells, q = _ranges(a, b), np.repeat(weights, b - a)
-        block = self.block[cells]
-        blocks = -(-len(self.ids) // BLOCK)
-        bounds = np.bincount(block, q * self.highest[cells], minlength=blocks)
+        """The k examples of highest cosine, ties by their order, and the cosines.
+
+        What rare terms give is added up for all examples, as they are in few. With the largest
+        weights of the frequent ones that bounds each block, and a block's examples are scored only
+        if its bound reaches the k-th best of the blocks before.
+        """
+        place = self.place[rows]
+        rare = place < 0
+        a, b = self.first[rows[rare]], self.first[rows[rare] + 1]
+        at = _ranges(a, b)
+        blocks = len(self.table)
+        given = np.bincount(
+            self.example[at], np.repeat(weights[rare], b - a) * self.weight[at], blocks * BLOCK
+        ).reshape(blocks, BLOCK)
+        place, weights = place[~rare], weights[~rare]
+        bounds = given.max(axis=1) + weights @ self.highest[place]
         order = np.argsort(-bounds, kind="stable")
-        best = np.empty(0, dtype=np.int64)
-        scores = np.empty(0)
-        # Blocks are scored a few at a time, twice as many each time.
-        done, many = 0, 4
-        while done < blocks:
-            now = order[done : done + many]
+        best, scores = np.empty(0, dtype=np.int64), np.empty(0)
+        # The blocks of the highest bounds first, then all that may still hold a nearer one.
+        for now in (order[:START], order[START:]):
             now = now[bounds[now] > 0]
             if len(best) == k:
                 now = now[bounds[now] >= scores[-1] - 1e-9]
             if not len(now):
                 break
-            chosen = np.zeros(blocks, dtype=bool)
-            chosen[now] = True
-            held = chosen[block]
-            a, b = self.first[cells[held]], self.first[cells[held] + 1]
-            at = _ranges(a, b)
-            own = np.bincount(self.example[at], np.repeat(q[held], b - a) * self.weight[at])
-            at = np.flatnonzero(own)
-            at = at[self.ids[at] != without] if without is not None else at
-            best = np.concatenate([best, at])
-            scores = np.concatenate([scores, own[at]])
-            kept = np.lexsort((best, -scores))[:k]
-            best, scores = best[kept], scores[kept]
-            done, many = done + many, 2 * many
+            self.blocks_scored += len(now)
+            own = given[now] + np.matmul(weights, self.table[now[:, None], place[None]])
+            at = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            own = own.ravel()
+            kept = (own > 0) & (at < len(self.ids))
+            at, own = at[kept], own[kept]
+            if without is not None:
+                other = self.ids[at] != without
+                at, own = at[other], own[other]
+            if len(own) > k:
+                enough = own >= np.partition(own, len(own) - k)[len(own) - k]
+                at, own = at[enough], own[enough]
+            best, scores = np.concatenate([best, at]), np.concatenate([scores, own])
+            nearest = np.lexsort((best, -scores))[:k]
+            best, scores = best[nearest], scores[nearest]
         return best, scores
 
     def votes(self, rows: list[int], weights: list[float], k: int, without: int | None = None):
@@ -186,20 +242,27 @@ def build(terms: int, examples: list[tuple]) -> Index:
     example = np.repeat(np.arange(len(held)), [len(e[3]) for e in held]).astype(np.int64)
     row = np.concatenate([np.empty(0, np.int64), *[np.asarray(e[3], np.int64) for e in held]])
     weight = np.concatenate([np.empty(0), *[np.asarray(e[4], np.float64) for e in held]])
+    blocks = max(1, -(-len(held) // BLOCK))
+    frequent = np.flatnonzero(np.bincount(row, minlength=terms) * FREQUENT >= max(1, len(held)))
+    place = np.full(terms, -1)
+    place[frequent] = np.arange(len(frequent))
+    common = place[row] >= 0
+    table = np.zeros((blocks, len(frequent), BLOCK))
+    at = example[common]
+    table[at // BLOCK, place[row[common]], at % BLOCK] = weight[common]
+    example, row, weight = example[~common], row[~common], weight[~common]
     order = np.lexsort((example, row))
     example, row, weight = example[order], row[order], weight[order]
-    blocks = max(1, -(-len(held) // BLOCK))
-    cell, first = np.unique(row * blocks + example // BLOCK, return_index=True)
     return Index(
         ids=np.array([e[0] for e in held], dtype=np.int64),
         toxic=np.array([e[1] for e in held], dtype=np.int64),
         share=np.array([e[2] for e in held], dtype=np.float64),
-        cells=np.searchsorted(cell, np.arange(terms + 1) * blocks),
-        block=(cell % blocks).astype(np.int32),
-        highest=np.maximum.reduceat(weight, first) if len(first) else weight,
-        first=np.append(first, len(example)),
+        first=np.searchsorted(row, np.arange(terms + 1)),
         example=example.astype(np.int32),
         weight=weight,
+        place=place,
+        table=table,
+        highest=np.ascontiguousarray(table.max(axis=2).T),
     )
 
 
@@ -310,7 +373,8 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = EXAMPLES, k: int = NE
 
     @F.pandas_udf("rows array<int>, weights array<double>")
     def vectors(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([known.value.vector(t) for t in text], columns=["rows", "weights"])
+        found = [known.value.vector(t) for t in text]
+        return pd.DataFrame({"rows": [r for r, _ in found], "weights": [w for _, w in found]})
 
     held = stored(
         sample.select("doc_id", "toxic", "share", vectors("text").alias("v")).select(

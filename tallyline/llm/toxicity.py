@@ -189,15 +189,15 @@ class Index:
         given = np.bincount(
             self.example[at], np.repeat(weights[rare], b - a) * self.weight[at], blocks * BLOCK
         ).reshape(blocks, BLOCK)
-        place, weights = place[~rare], weights[~rare]
-        bounds = given.max(axis=1) + weights @ self.highest[place]
+        place, weights = place[~rare], weights[~rare].astype(np.float32)
+        # The table is in single precision; bounds leave room for its rounding.
+        bounds = given.max(axis=1) + weights @ self.highest[place] + 1e-5
         order = np.argsort(-bounds, kind="stable")
         best, scores = np.empty(0, dtype=np.int64), np.empty(0)
         # The blocks of the highest bounds first, then all that may still hold a nearer one.
         for now in (order[:START], order[START:]):
-            now = now[bounds[now] > 0]
             if len(best) == k:
-                now = now[bounds[now] >= scores[-1] - 1e-9]
+                now = now[bounds[now] >= scores[-1]]
             if not len(now):
                 break
             self.blocks_scored += len(now)
@@ -247,7 +247,7 @@ def build(terms: int, examples: list[tuple]) -> Index:
     place = np.full(terms, -1)
     place[frequent] = np.arange(len(frequent))
     common = place[row] >= 0
-    table = np.zeros((blocks, len(frequent), BLOCK))
+    table = np.zeros((blocks, len(frequent), BLOCK), dtype=np.float32)
     at = example[common]
     table[at // BLOCK, place[row[common]], at % BLOCK] = weight[common]
     example, row, weight = example[~common], row[~common], weight[~common]

@@ -118,7 +118,8 @@ def released(spark: SparkSession) -> None:
             ctypes.CDLL("libc.so.6").malloc_trim(0)
         yield from batches
 
-    tasks = 2 * spark.sparkContext.defaultParallelism
+    # As a task takes the worker that was idle longest, these reach all of them.
+    tasks = 6 * spark.sparkContext.defaultParallelism
     spark.range(0, tasks, 1, tasks).mapInArrow(release, "id long").count()
 
 

@@ -225,7 +225,7 @@ class Index:
         best, cosines = self.nearest(rows, weights, k, without)
         power = self.share[best] / (1 + NEAR - np.minimum(cosines, 1.0))
         evidence = [
-            (int(self.ids[e]), float(c), int(self.toxic[e]))
+            (int(self.ids[e]), min(float(c), 1.0), int(self.toxic[e]))
             for e, c in zip(best[:3], cosines[:3], strict=True)
         ]
         return float(power @ self.toxic[best]), float(power.sum()), evidence

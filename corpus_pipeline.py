@@ -61,8 +61,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .filter("_first"),
         "ids",
     )
-    # Merged at any size: a broadcast that only small inputs allow would hide the shuffle of texts.
-    first_of = stored(_carried(docs).join(by_id.drop("_first").hint("merge"), "doc_id"), "first")
+    # Hashed at any size: texts are shuffled once and not sorted, and a partition holds its ids alone.
+    first_of = stored(_carried(docs).join(by_id.drop("_first").hint("shuffle_hash"), "doc_id"), "first")
     single = first_of.filter("_rows = 1").drop("_rows")
     # An id may have several texts, of which only some are the first of their group.
     many = by_id.filter("_rows > 1")

@@ -68,6 +68,51 @@ def test_recall_of_edited_passages(share, least):
     assert sum(hits) / len(hits) >= least
 
 
+@pytest.mark.parametrize("length", [5, 6, 9, 10, 14, 15, 20, 31, 32, 40, 45, 46, 59, 120])
+@pytest.mark.parametrize("even", [True, False])
+def test_recall_by_length_with_words_of_no_item(length, even):
+    random.seed(length)
+    own_words = ["".join(random.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    tests = [(i, random.choices(own_words, k=length)) for i in range(100)]
+    index = d.Index(tests)
+    edits = d.most_edits(length, d.SIMILARITY)
+
+    def strange():
+        return "x" + "".join(random.choice("abcdefgh") for _ in range(7))
+
+    texts = []
+    for _, own in tests:
+        if even:
+            places = [round((j + 1) * (length + 1) / (edits + 1)) - 1 for j in range(edits)]
+        else:
+            places = random.sample(range(length), edits)
+        passage = [strange() if at in places else w for at, w in enumerate(own)]
+        texts.append(" ".join([strange() for _ in range(20)] + passage + [strange() for _ in range(20)]))
+    found = d.search(index, texts)
+    hits = [any(m["item_id"] == i for m in row) for (i, _), row in zip(tests, found, strict=True)]
+    assert sum(hits) / len(hits) >= 0.95
+
+
+def test_short_items_and_scripts_without_blanks():
+    given = [(1, "yes"), (2, "Red green"), (3, "a b c d"), (4, "日本語の文章"), (5, ""), (6, None)]
+    index = d.Index([(i, d.words(t)) for i, t in given])
+    texts = ["no", "yes!", "red blue green", "so red, green", "a b c", "x a b c d e", "これは日本人の文章です"]
+    found = [[(m["item_id"], m["word_start"], m["distance"]) for m in row] for row in d.search(index, texts)]
+    assert found == [[], [(1, 0, 0)], [], [(2, 1, 0)], [], [(3, 1, 0)], [(4, 3, 1)]]
+
+
+def test_walks_reach_the_recall():
+    for n in range(5, 300):
+        places, length, repetitions = d.walks(n, d.SIMILARITY)
+        edits = d.most_edits(n, d.SIMILARITY)
+        short, longer = divmod(n - edits, edits + 1)
+        missed = 1.0
+        for r in range(repetitions):
+            missed *= (1 - d.caught(short + 1, places, length, r)) ** longer
+            missed *= (1 - d.caught(short, places, length, r)) ** (edits + 1 - longer)
+        assert missed <= 1 - d.RECALL + 1e-9
+
+
 def test_every_match_is_within_the_distance():
     words = vocabulary(2)
     tests = items(words)
@@ -114,6 +159,7 @@ def test_blocks_of_items_change_nothing(spark, documents, monkeypatch):
     docs = documents([(i, t) for i, t in tests])
     whole = d.with_matches(docs, table).select("doc_id", "matches").collect()
     monkeypatch.setattr(d, "BLOCK_ITEMS", 2)
+    monkeypatch.setattr(d, "PASS_BLOCKS", 2)
     parts = d.with_matches(docs, table).select("doc_id", "matches").collect()
     assert sorted(whole, key=repr) == sorted(parts, key=repr)
 

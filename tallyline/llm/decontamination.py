@@ -449,7 +449,8 @@ def with_matches(
             for batch in batches:
                 yield pd.Series(search_all(held, batch.tolist()), index=batch.index)
 
-        return of
+        # Or a filter on the matches would move below and search once more for what it keeps.
+        return of.asNondeterministic()
 
     found = docs.select(*[c for c in docs.columns if c != "matches"]).withColumn(
         "matches", F.array().cast(MATCH)

@@ -5,6 +5,7 @@ import random
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyline.llm import decontamination as d
 
@@ -164,6 +165,15 @@ def test_blocks_of_items_change_nothing(spark, documents, monkeypatch):
     assert sorted(whole, key=repr) == sorted(parts, key=repr)
 
 
+def test_a_filter_does_not_search_again(spark, documents):
+    table = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    found = d.with_matches(documents([(1, "x a b c d e f"), (2, "y")]), table)
+    held = found.select("doc_id", F.explode("matches").alias("m")).filter("m.distance = 0")
+    assert held.count() == 1
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")

@@ -63,13 +63,18 @@ def intervals(entries: DataFrame) -> DataFrame:
     return ends.filter("listed").select(*key, F.col("day").alias("valid_from"), "valid_to")
 
 
-def _keys(host: str, segments: str, deepest: int) -> Column:
-    """The (kind, value) pairs of entries that would cover a capture."""
+def _keys(host: str, segments: str, labels: int, deepest: int) -> Column:
+    """The (kind, value) pairs of entries that would cover a capture.
+
+    ``labels`` and ``deepest`` are the most labels of a listed domain and segments of a listed prefix.
+    """
     return F.expr(
         f"""concat(
-            transform(sequence(1, size(split({host}, '\\\\.'))), i -> named_struct(
-                'kind', 'domain',
-                'value', array_join(slice(split({host}, '\\\\.'), i, 1000), '.'))),
+            transform(
+                filter(sequence(0, least(size(split({host}, '\\\\.')), {labels})), i -> i > 0),
+                i -> named_struct(
+                    'kind', 'domain',
+                    'value', array_join(slice(split({host}, '\\\\.'), -i, i), '.'))),
             array(named_struct('kind', 'host', 'value', {host})),
             transform(sequence(0, least(size({segments}), {deepest})), i -> named_struct(
                 'kind', 'prefix',
@@ -126,15 +131,17 @@ def judged(
         F.to_date(F.col(fetched)).alias("_day"),
     )
     valid = stored(intervals(entries), "intervals", narrow=True)
-    depth = F.size(F.split("value", "/")) - 1
-    # No path is followed deeper than the deepest entry.
-    deepest = valid.filter("kind = 'prefix'").agg(F.max(depth)).first()[0] or 0
+    # No host or path is followed deeper than the deepest entry.
+    depth = F.when(F.col("kind") == "domain", F.size(F.split("value", r"\."))).otherwise(
+        F.size(F.split("value", "/")) - 1
+    )
+    most = dict(valid.groupBy("kind").agg(F.max(depth)).toLocalIterator())
     place = ["_host", "_segments", "_day"]
     asked = (
         given.select(*place)
         .dropna(subset=["_host", "_day"])
         .distinct()
-        .select(*place, F.explode(_keys("_host", "_segments", deepest)).alias("_key"))
+        .select(*place, F.explode(_keys("_host", "_segments", most.get("domain", 0), most.get("prefix", 0))).alias("_key"))
         .select(*place, "_key.kind", "_key.value")
     )
     wanted = asked.select("kind", "value", F.col("_day").alias("day")).distinct()

@@ -89,6 +89,22 @@ def test_equals_a_replay_of_the_entries(spark, seed):
     assert sorted(rows, key=repr) == sorted(expected, key=repr)
 
 
+def test_hosts_of_many_labels(spark):
+    labels = [f"l{i}" for i in range(1_500)]
+    host = ".".join(labels)
+    entries = [
+        ("spam", "domain", ".".join(labels[-1_200:]), "add", DAY),
+        ("malware", "domain", ".".join(labels[-2:]), "add", DAY),
+        ("other", "domain", ".".join(["x", *labels]), "add", DAY),
+    ]
+    capture = spark.createDataFrame(
+        [(1, f"http://{host}/", datetime(2024, 2, 1)), (2, "http://l1499/", datetime(2024, 2, 1))],
+        "id long, url string, fetched_at timestamp",
+    )
+    found = url_filters.judged(capture, spark.createDataFrame(entries, ENTRIES)).collect()
+    assert {r.id: r.lists for r in found} == {1: ["malware", "spam"], 2: []}
+
+
 def test_intervals(spark):
     days = [DAY + timedelta(i) for i in range(6)]
     entries = [

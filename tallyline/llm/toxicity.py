@@ -267,7 +267,10 @@ def build(terms: int, examples: list[tuple]) -> Index:
 
 
 def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[DataFrame, dict[int, float]]:
-    """(doc_id, toxic, share, text) of at most ``limit`` rows of a class, and the classes' sizes."""
+    """(doc_id, toxic, share, text) of at most ``limit`` ids of a class, and the classes' sizes.
+
+    Of the texts that share an id the least one is the example.
+    """
     rows = (
         labelled.filter("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
@@ -281,7 +284,8 @@ def _sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[DataFrame
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # At most two times ``limit`` ids, so this side is small at any size.
-    return stored(texts.join(F.broadcast(chosen), "doc_id"), "examples"), sizes
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "share")
+    return stored(found.agg(F.min("text").alias("text")), "examples"), sizes
 
 
 def _vocabulary(sample: DataFrame, sizes: dict[int, float], limit: int) -> Vocabulary | None:

@@ -75,6 +75,14 @@ def test_the_sample_is_bounded(spark, documents):
     assert sample.count() == 40 and sum(sizes.values()) == len(rows)
 
 
+def test_an_id_on_many_rows_is_one_example(spark, documents):
+    rows = [*corpus(100), *[(5_000, f"text number {i}", 1) for i in range(3_000)]]
+    docs = documents([r[:2] for r in rows])
+    sample, _ = toxicity._sample(docs, labelled(spark, rows), 2_048)
+    assert sample.count() == 101
+    assert [r.text for r in sample.filter("doc_id = 5000").collect()] == ["text number 0"]
+
+
 def test_odd_rows(spark, documents, odd_rows):
     rows = corpus(200)
     scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, rows))

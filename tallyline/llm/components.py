@@ -39,9 +39,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     now = stored(
         links.filter(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct()
-        .hint("rebalance"),
+        .distinct(),
         "links",
+        narrow=True,
     )
     state = None
     while True:
@@ -49,6 +49,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if seen == state or not seen[0]:
             break
         state = seen
-        now = stored(_small_star(_large_star(now)).hint("rebalance"), "links")
+        now = stored(_small_star(_large_star(now)), "links", narrow=True)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -37,8 +37,6 @@ MAX_BITS = 2
 SEED = 42
 # Hashes whose bits are counted at a time.
 _BLOCK = 1 << 16
-# Fingerprints that one task indexes; each has some 64 keys.
-TASK_ROWS = 1 << 18
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -120,27 +118,21 @@ def _ball_keys(fps: DataFrame) -> DataFrame:
     return fps.select("fp", at).select(near.alias("key"), "fp")
 
 
-def _spread(fps: DataFrame) -> DataFrame:
-    """Stored fingerprints over as many tasks as what they are indexed by needs."""
-    cores = fps.sparkSession.sparkContext.defaultParallelism
-    return fps.repartition(max(cores, -(-fps.count() // TASK_ROWS)))
-
-
 def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) between distinct fingerprints that connect all within ``MAX_BITS`` bits."""
-    keyed = _segment_keys(_spread(fps))
+    keyed = _segment_keys(fps)
     shared = stored(
         keyed.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-        .filter("n > 1")
-        .hint("rebalance"),
+        .filter("n > 1"),
         "keys",
+        narrow=True,
     )
     pairs = shared.filter("n = 2").select("a", "b").distinct()
     # Merged at any size: a broadcast that only small inputs allow would hide a shuffle.
     crowded = shared.filter("n > 2").select("key").hint("merge")
     members = keyed.join(crowded, "key", "left_semi").select("fp").distinct()
-    ball = _ball_keys(_spread(stored(members.hint("rebalance"), "members")))
+    ball = _ball_keys(stored(members, "members", narrow=True))
     least = ball.groupBy("key").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n"))
     stars = ball.join(least.filter("n > 1"), "key").select("a", F.col("fp").alias("b")).distinct()
     return pairs.unionByName(stars).filter((F.col("a") != F.col("b")) & (_differ("a", "b") <= MAX_BITS))
@@ -151,14 +143,14 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the smallest id among all that links reach."""
     fps = stored(fingerprints(docs, doc_id, text, size), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    first = stored(distinct.hint("rebalance"), "distinct")
+    first = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct", narrow=True)
     rooted = components(links(first.select("fp")), "a", "b").withColumnRenamed("node", "fp")
     smallest = rooted.join(first, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     classes = stored(
         first.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp", "left").select(
             "fp", F.coalesce("component_id", "first").alias("component_id")
-        ).hint("rebalance"),
+        ),
         "classes",
+        narrow=True,
     )
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")

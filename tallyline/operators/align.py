@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.scans import cuts, reached, with_cuts
+from tallyline.operators.scans import cuts, few, reached, with_cuts
 from tallyline.sources.contracts import MONEY
 
 # Fixed value: the end of a loan's last statement period.
@@ -27,7 +27,7 @@ def next_bill_date(bill: DataFrame) -> DataFrame:
 
     The last bill, and a bill whose successor has no date, get the open end.
     """
-    return _followed(bill, bill_cuts(bill)).drop("_block")
+    return _followed(bill, bill_cuts(bill)).drop("_block", "_opener")
 
 
 def bill_cuts(bill: DataFrame) -> DataFrame:
@@ -36,19 +36,49 @@ def bill_cuts(bill: DataFrame) -> DataFrame:
 
 
 def _followed(bill: DataFrame, cut: DataFrame) -> DataFrame:
-    """Bills with ``PaymentDateNext`` and the block they were ordered in.
+    """Bills with ``PaymentDateNext``, the block they were ordered in and what opens the next.
 
     A cut is a bill, the first of its block. So what follows the last bill of a block is in the
-    cuts already, and bills are read for no second time.
+    cuts already, and bills are read for no second time. It is looked up before the bills are
+    shuffled, as a loan has many cuts and each of its bills would take them all along. ``_opener``
+    is NULL for loans that are not cut, and for them alone.
     """
-    blocked = with_cuts(bill, cut).withColumn("_block", reached(F.struct(*_SEQUENCE)))
+    opener = F.coalesce(F.get("_cuts", F.col("_block"))["PaymentDate"], F.lit(OPEN_END))
+    blocked = (
+        with_cuts(bill, cut)
+        .withColumn("_block", reached(F.struct(*_SEQUENCE)))
+        .select(
+            *bill.columns,
+            "_block",
+            F.when(F.col("_cuts").isNotNull(), opener).alias("_opener"),
+        )
+    )
     within = Window.partitionBy("LoanID", "_block").orderBy(*_SEQUENCE)
-    opener = F.get("_cuts", F.col("_block"))["PaymentDate"]
     following = F.when(F.lead(F.lit(True)).over(within), F.lead("PaymentDate").over(within))
     return blocked.select(
         *bill.columns,
         "_block",
-        F.coalesce(following.otherwise(opener), F.lit(OPEN_END)).alias("PaymentDateNext"),
+        "_opener",
+        F.coalesce(following.otherwise(F.col("_opener")), F.lit(OPEN_END)).alias("PaymentDateNext"),
+    )
+
+
+def _spans(periods: DataFrame) -> DataFrame:
+    """(LoanID, _block, _first, _end): the days between which the periods of a block lie.
+
+    Of loans that are cut alone, so there are hardly more than cuts. That a loan is cut is told by
+    the group and not by a join with the cuts, which would be moved below the shuffle of the
+    bills; as it is, both readers of the periods share that shuffle.
+    """
+    return (
+        periods.groupBy("LoanID", "_block")
+        .agg(
+            F.min("PaymentDate").alias("_first"),
+            F.max("PaymentDateNext").alias("_end"),
+            F.max("_opener").alias("_opener"),
+        )
+        .filter(F.col("_opener").isNotNull())
+        .drop("_opener")
     )
 
 
@@ -61,7 +91,8 @@ def _place(dated: DataFrame, bill: DataFrame) -> DataFrame:
     Periods are divided at the borders of calendar pieces, and a day meets the
     periods of its own piece only: they are joined by loan, block of bills and piece,
     whether or not bill dates rise with the number. A loan of many bills is spread
-    over its blocks and pieces; its days are given to each of its blocks. Empty periods hold no
+    over its blocks and pieces; a day is given to those of its blocks whose periods span it, which
+    is one or two while dates rise with the number. Empty periods hold no
     date and are left out. Days after the last bill sampled share the last piece, so that open
     periods end there.
     """
@@ -82,10 +113,12 @@ def _place(dated: DataFrame, bill: DataFrame) -> DataFrame:
         F.col("PaymentDate").alias("_from"),
         F.col("PaymentDateNext").alias("_until"),
     )
-    blocks = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
-    days = with_cuts(dated, cut).select(
+    spans = few(_spans(periods).withColumnRenamed("LoanID", "_loan"))
+    spanned = (F.col("PaymentDate") >= F.col("_first")) & (F.col("PaymentDate") < F.col("_end"))
+    # A day of a loan that is not cut meets no span, and neither does one outside of all periods.
+    days = dated.join(spans, (F.col("LoanID") == F.col("_loan")) & spanned, "left").select(
         *dated.columns,
-        F.explode(blocks).alias("_block"),
+        F.coalesce("_block", F.lit(0)).alias("_block"),
         piece(F.col("PaymentDate")).alias("_piece"),
     )
     held = (F.col("PaymentDate") >= F.col("_from")) & (F.col("PaymentDate") < F.col("_until"))

@@ -87,17 +87,18 @@ def reached(here: Column, field: str | None = None) -> Column:
         return F.when((at[field] if field else at) <= here, found + step).otherwise(found)
 
     search = F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), further)
-    return F.when(F.col("_cuts").isNull(), 0).otherwise(search)
+    # Known not to be NULL, or joins by block would search once more to check it.
+    return F.when(F.col("_cuts").isNull(), 0).otherwise(F.coalesce(search, F.lit(0)))
 
 
-def _few(cut: DataFrame) -> DataFrame:
-    """For joins: there are no more than CUTS, whatever the input."""
+def few(cut: DataFrame) -> DataFrame:
+    """For joins: there are hardly more than CUTS, whatever the input."""
     return F.broadcast(cut)
 
 
 def with_cuts(rows: DataFrame, cut: DataFrame, key: str = "LoanID") -> DataFrame:
     """Add ``_cuts`` to the rows, NULL for a key without."""
-    return rows.join(_few(cut), key, "left")
+    return rows.join(few(cut), key, "left")
 
 
 def in_blocks(rows: DataFrame, cut: DataFrame, by: str, key: str = "LoanID") -> DataFrame:
@@ -139,7 +140,7 @@ def running_totals(
     if cut is not None:
         if carry_from is not None:
             divided = in_blocks(carry_from, cut, order[0], key)
-        divided = divided.join(_few(cut.select(key)), key, "left_semi")
+        divided = divided.join(few(cut.select(key)), key, "left_semi")
     if in_range is not None:
         deal = blocked.repartitionByRange if in_range else blocked.repartition
         blocked = deal(key, "_block")
@@ -174,7 +175,7 @@ def running_totals(
         return F.coalesce(here + before, here, before).alias(name)
 
     if cut is not None:
-        carried = _few(carried)
+        carried = few(carried)
     return local.join(carried, [key, "_block"], "left").select(
         *rows.columns, *["_block"][: int(in_range or False)], *[total(name) for name in totals]
     )

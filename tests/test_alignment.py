@@ -197,3 +197,42 @@ def test_order_of_the_input_does_not_matter(table):
         table("pay", pay[::-1]).repartition(7), table("bill", bill[::-1]).repartition(3)
     )
     assert as_set(first) == as_set(second, *first.columns)
+
+
+def shuffled_rows(df):
+    """What each shuffle of an executed plan takes, as (columns below it, rows written)."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            columns = [node.output().apply(i).name() for i in range(node.output().size())]
+            found.append((columns, node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return found
+
+
+def test_a_large_loan_is_shuffled_once_however_many_its_blocks(spark, table):
+    """Neither do bills take the cuts of their loan along, nor do days go to blocks of other times."""
+    start = date(2020, 1, 1)
+    day = [(start + timedelta(days=n // 8)).isoformat() for n in range(2000)]
+    pay = pays(*[(start + timedelta(days=n)).isoformat() for n in range(250)])
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    with scans.rows_per_block(16):
+        blocks = align.bill_cuts(table("bill", bills(*day))).first()._cuts
+        aligned = align.align_payments_to_statements(table("pay", pay), table("bill", bills(*day)))
+    shuffles = shuffled_rows(aligned)
+    spark.conf.set(key, before)
+    assert len(blocks) > 50
+    assert not [columns for columns, _ in shuffles if "PaymentNumber" in columns and "_cuts" in columns]
+    days = [rows for columns, rows in shuffles if "_piece" in columns and "Status" in columns]
+    assert len(days) == 1 and days[0] <= 3 * 250
+    assert [r.MonthNumber for r in aligned.orderBy("MonthNumber").collect()] == [8 * n + 8 for n in range(250)]

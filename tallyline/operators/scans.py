@@ -101,6 +101,11 @@ def with_cuts(rows: DataFrame, cut: DataFrame, key: str = "LoanID") -> DataFrame
     return rows.join(few(cut), key, "left")
 
 
+def of_cut(rows: DataFrame, cut: DataFrame, key: str = "LoanID") -> DataFrame:
+    """The rows of keys that are cut."""
+    return rows.join(few(cut.select(key)), key, "left_semi")
+
+
 def in_blocks(rows: DataFrame, cut: DataFrame, by: str, key: str = "LoanID") -> DataFrame:
     """Add ``_block`` by the first sort column of the cuts."""
     first = cut.schema["_cuts"].dataType.elementType.names[0]
@@ -126,7 +131,8 @@ def running_totals(
     alone where a calendar or the like divides all keys. It must not decrease along ``order``.
     RANGE and BEFORE take a single integer sort column. A sum over no non-NULL value is NULL.
 
-    ``carry_from`` are the same rows by a shorter way, for the pass over loans that are cut. For rows that come
+    ``carry_from`` are the rows of loans that are cut, for the pass over them, best found by ``of_cut`` before any
+    shuffle: where no loan is cut, nothing is shuffled for that pass then. For rows that come
     from a join by key, ``in_range`` asks for a shuffle by key and block, as theirs would do for the windows
     and leave a large key in one task. True deals them out in ranges and keeps ``_block``: a sort by key, block
     and ``order`` then needs no other shuffle.
@@ -140,7 +146,7 @@ def running_totals(
     if cut is not None:
         if carry_from is not None:
             divided = in_blocks(carry_from, cut, order[0], key)
-        divided = divided.join(few(cut.select(key)), key, "left_semi")
+        divided = of_cut(divided, cut, key)
     if in_range is not None:
         deal = blocked.repartitionByRange if in_range else blocked.repartition
         blocked = deal(key, "_block")

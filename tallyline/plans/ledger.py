@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
 from tallyline.operators.align import align_payments_to_statements, bill_cuts
-from tallyline.operators.scans import running_totals
+from tallyline.operators.scans import of_cut, running_totals
 from tallyline.operators.terms import TERMS, with_terms
 from tallyline.sources.contracts import MONEY
 
@@ -35,7 +36,8 @@ def _totals() -> dict[str, Column]:
 
 
 def _ledger(
-    aligned: DataFrame,
+    align: Callable[[DataFrame], DataFrame],
+    pay: DataFrame,
     bill: DataFrame,
     loan: DataFrame,
     cb: DataFrame,
@@ -43,22 +45,23 @@ def _ledger(
     interest: Column,
     ordered: bool,
 ) -> DataFrame:
-    """Aligned payments with their terms and the seven running totals.
+    """Payments as ``align`` places them, with their terms and the seven running totals.
 
     A loan brings one row per statement and status. The totals run in the blocks that its bills
     were placed in, so that a loan of many statements is several tasks' work. Only the payments of
-    loans that are cut are aligned a second time, for the sums of their blocks.
+    loans that are cut are aligned a second time, for the sums of their blocks; the others are
+    dropped before they are collapsed.
 
     The terms join first, so that one shuffle by ranges of loan and block serves both the totals
     and the order of the result, where a join after it would undo its order.
     """
-    totals = _totals()
+    totals, cut = _totals(), bill_cuts(bill)
     rows = running_totals(
-        with_terms(aligned, loan, cb),
+        with_terms(align(pay), loan, cb),
         totals,
         list(ORDER),
-        cut=bill_cuts(bill),
-        carry_from=aligned,
+        cut=cut,
+        carry_from=align(of_cut(pay, cut)),
         in_range=ordered,
     )
     ledger = rows.select(
@@ -98,11 +101,13 @@ def cumulative_ledger(
     The shown amounts are zero unless posted or scheduled, while the totals use
     all amounts. ``ordered=False`` leaves the rows unsorted, after as many shuffles.
     """
-    aligned = align_payments_to_statements(pay, bill).filter(
-        F.col("PaymentDate") < F.lit(c.as_of_cut(as_of))
-    )
+    until = F.lit(c.as_of_cut(as_of))
+
+    def align(pay: DataFrame) -> DataFrame:
+        return align_payments_to_statements(pay, bill).filter(F.col("PaymentDate") < until)
+
     principal, interest = c.shown_amount("AmountPrincipal"), c.shown_amount("AmountInterest")
-    return _ledger(aligned, bill, loan, cb, principal, interest, ordered)
+    return _ledger(align, pay, bill, loan, cb, principal, interest, ordered)
 
 
 def analysis_ledger(
@@ -121,9 +126,12 @@ def analysis_ledger(
     if loan_id is not None:
         pay = pay.filter(F.col("LoanID") == loan_id)
         bill = bill.filter(F.col("LoanID") == loan_id)
-    aligned = align_payments_to_statements(pay, bill)
+
+    def align(pay: DataFrame) -> DataFrame:
+        return align_payments_to_statements(pay, bill)
+
     amounts = F.col("AmountPrincipal"), F.col("AmountInterest")
-    return _ledger(aligned, bill, loan, cb, *amounts, ordered)
+    return _ledger(align, pay, bill, loan, cb, *amounts, ordered)
 
 
 def masked_amounts(pay: DataFrame, bill: DataFrame) -> DataFrame:

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.functions import columns as c
 from tallyline.operators.align import align_payments_to_statements, bill_cuts
-from tallyline.operators.scans import in_blocks
+from tallyline.operators.scans import in_blocks, of_cut
 from tallyline.operators.terms import TERMS, with_terms
 from tallyline.plans.ledger import ORDER, analysis_ledger
 
 # The views that the functions stand on.
-ENTRIES, TERMED, CUT_LOANS = "ledger_entries", "ledger_entries_with_terms", "ledger_cut_loans"
+ENTRIES, TERMED, CUT_ENTRIES = "ledger_entries", "ledger_entries_with_terms", "ledger_entries_of_cut_loans"
 
 _DUE, _RECEIVED = f"Status <> '{c.POSTED}'", f"Status = '{c.POSTED}'"
 _TOTALS = {
@@ -52,8 +52,7 @@ with totalled as (
         partition by LoanID, _block order by {", ".join(ORDER)} rows unbounded preceding
     )
 ), blocks as (
-    select LoanID, _block, {sums} from {ENTRIES} left semi join {CUT_LOANS} using (LoanID)
-    where {where} group by LoanID, _block
+    select LoanID, _block, {sums} from {CUT_ENTRIES} where {where} group by LoanID, _block
 ), carried as (
     select LoanID, _block, {carried} from blocks
     window earlier as (
@@ -76,7 +75,9 @@ def register_functions(
     aligned = align_payments_to_statements(pay, bill)
     in_blocks(aligned, cut, "MonthNumber").createOrReplaceTempView(ENTRIES)
     in_blocks(with_terms(aligned, loan, cb), cut, "MonthNumber").createOrReplaceTempView(TERMED)
-    cut.select("LoanID").createOrReplaceTempView(CUT_LOANS)
+    # The payments of other loans are dropped before they are collapsed.
+    divided = of_cut(in_blocks(align_payments_to_statements(of_cut(pay, cut), bill), cut, "MonthNumber"), cut)
+    divided.createOrReplaceTempView(CUT_ENTRIES)
     schema = analysis_ledger(pay, bill, loan, cb, ordered=False).schema
     types = {field.name: field.dataType.simpleString() for field in schema}
     columns = ", ".join(f"{name} {kind}" for name, kind in types.items())

@@ -10,6 +10,7 @@ from tallyline.operators import align, scans, snapshot, totals
 from tallyline.operators.lookup import loan_detail
 from tallyline.plans import registry
 from tallyline.plans.ledger import analysis_ledger, cumulative_ledger
+from tallyline.plans.routines import register_functions
 from tallyline.sources import tables
 from tallyline.sources.contracts import CONTRACTS
 
@@ -262,6 +263,26 @@ def test_disordered_bills_of_one_loan_are_many_tasks_work(spark, table, sort_mer
     assert total == expected
 
 
+def collapses(text):
+    """For each shuffle that collapses payments, whether loans without a cut are dropped below it."""
+    by_day = r"Exchange hashpartitioning\(LoanID#\d+, PaymentDate#\d+, Status#\d+"
+    below = [text[found.end() :].split("FileScan")[0] for found in re.finditer(by_day, text)]
+    return sorted("LeftSemi" in nodes for nodes in below)
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_only_payments_of_cut_loans_are_collapsed_twice(stored, sort_merge, ordered):
+    inputs = stored["pay"], stored["bill"], stored["loan"], stored["cb"]
+    for found in (ledger(stored, ordered=ordered), analysis_ledger(*inputs, ordered=ordered)):
+        assert collapses(plan(found)) == [False, True]
+
+
+def test_sql_functions_collapse_only_payments_of_cut_loans_twice(spark, stored, sort_merge):
+    register_functions(spark, stored["pay"], stored["bill"], stored["loan"], stored["cb"])
+    for name in ("cumulative_ledger", "ledger_analysis"):
+        assert collapses(plan(spark.sql(f"select * from {name}()"))) == [False, True]
+
+
 def test_the_order_of_the_ledger_costs_no_shuffle(stored, sort_merge):
     ordered, unordered = plan(ledger(stored)), plan(ledger(stored, ordered=False))
     assert ordered.count("Exchange ") == unordered.count("Exchange ")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import columns as c
-from tallyline.operators.scans import RANGE, running_totals
+from tallyline.operators.scans import RANGE, cuts, in_blocks, running_totals, with_cuts
 from tallyline.operators.totals import billed_before
 from tallyline.sources.contracts import MONEY
 
@@ -47,12 +47,24 @@ def bill_days(statements: DataFrame) -> DataFrame:
     return statements.select("LoanID", "PaymentDate").distinct()
 
 
+def paid_by(pay: DataFrame, as_of: datetime | date | None) -> DataFrame:
+    """Payments dated on or before the day of ``as_of``: later ones precede no statement due by it."""
+    return pay.filter(F.col("PaymentDate") <= F.lit(c.day_of(as_of)))
+
+
 def totals_by_bill_day(pay: DataFrame, statements: DataFrame) -> DataFrame:
     """(LoanID, PaymentDate) of every statement with its state on that day.
 
     ``MonthNumber`` is the largest month paid on or before the day, and the
-    received amounts are those posted on or before it. The window sees at most
-    one payment row and one statement row per day of a loan.
+    received amounts are those posted on or before it.
+    """
+    return _totals_by_day(pay, bill_days(statements))
+
+
+def _totals_by_day(pay: DataFrame, days: DataFrame) -> DataFrame:
+    """``days``, one row per loan and day, with the state on that day and all their columns.
+
+    The window sees at most one payment row and one row of ``days`` per day of a loan.
     """
     paid = (
         pay.filter(F.col("PaymentDate").isNotNull())
@@ -63,7 +75,7 @@ def totals_by_bill_day(pay: DataFrame, statements: DataFrame) -> DataFrame:
         )
         .withColumn("_statement", F.lit(False))
     )
-    billed = bill_days(statements).withColumn("_statement", F.lit(True))
+    billed = days.withColumn("_statement", F.lit(True))
     to_date = (
         Window.partitionBy("LoanID")
         .orderBy("PaymentDate")
@@ -72,8 +84,7 @@ def totals_by_bill_day(pay: DataFrame, statements: DataFrame) -> DataFrame:
     return (
         paid.unionByName(billed, allowMissingColumns=True)
         .select(
-            "LoanID",
-            "PaymentDate",
+            *days.columns,
             "_statement",
             F.max("MonthNumber").over(to_date).alias("MonthNumber"),
             *[F.sum(name).over(to_date).alias(name) for name in RECEIVED],
@@ -122,7 +133,9 @@ def statement_spine(
     if per_loan:
         days = bill_days(statements).join(last_months(pay, as_of), "LoanID", "left")
     else:
-        days = totals_by_bill_day(pay, statements).select("LoanID", "PaymentDate", "MonthNumber")
+        days = totals_by_bill_day(paid_by(pay, as_of), statements).select(
+            "LoanID", "PaymentDate", "MonthNumber"
+        )
     return statements.join(days, ["LoanID", "PaymentDate"]).select(
         "LoanID", "MonthNumber", "PaymentNumber", "PaymentDate"
     )
@@ -130,11 +143,7 @@ def statement_spine(
 
 def last_months(pay: DataFrame, as_of: datetime | date | None) -> DataFrame:
     """(LoanID, MonthNumber): the largest month paid by the day of ``as_of``."""
-    return (
-        pay.filter(F.col("PaymentDate") <= F.lit(c.day_of(as_of)))
-        .groupBy("LoanID")
-        .agg(F.max("MonthNumber").alias("MonthNumber"))
-    )
+    return paid_by(pay, as_of).groupBy("LoanID").agg(F.max("MonthNumber").alias("MonthNumber"))
 
 
 def principal_due(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None) -> DataFrame:
@@ -159,7 +168,9 @@ def _with_month_totals(pay, bill, as_of, measures: tuple[str, ...]) -> DataFrame
 def received_to_date(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None) -> DataFrame:
     """Statements with the amounts posted on or before their date."""
     statements = due_statements(bill, as_of).select("LoanID", "PaymentNumber", "PaymentDate")
-    totals = totals_by_bill_day(pay, statements).select("LoanID", "PaymentDate", *RECEIVED)
+    totals = totals_by_bill_day(paid_by(pay, as_of), statements).select(
+        "LoanID", "PaymentDate", *RECEIVED
+    )
     return _typed(
         statements.join(totals, ["LoanID", "PaymentDate"]),
         ("LoanID", "PaymentNumber", "PaymentDate"),
@@ -194,7 +205,7 @@ def statement_measures(
 ) -> DataFrame:
     """Due statements with all measures as of the statement and the loan's position."""
     days = (
-        totals_by_bill_day(pay, due_statements(bill, as_of))
+        totals_by_bill_day(paid_by(pay, as_of), due_statements(bill, as_of))
         .join(totals_by_month(pay), ["LoanID", "MonthNumber"], "left")
         .join(position, "LoanID")
     )
@@ -228,8 +239,7 @@ def loan_measures(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None
         .agg(F.sum("_day.n").alias("_statements"))
     )
     received = (
-        totals_by_bill_day(pay, per_day)
-        .join(per_day, ["LoanID", "PaymentDate"])
+        _totals_by_day(paid_by(pay, as_of), per_day)
         .groupBy("LoanID")
         .agg(
             F.max("MonthNumber").alias("MonthNumber"),
@@ -254,9 +264,18 @@ def loan_measures(pay: DataFrame, bill: DataFrame, as_of: datetime | date | None
 def statement_loan_measures(
     pay: DataFrame, bill: DataFrame, position: DataFrame, as_of: datetime | date | None
 ) -> DataFrame:
-    """Due statements with the measures and position of their loan."""
+    """Due statements with the measures and position of their loan.
+
+    A loan brings its row once for each block of its bills, so that neither the statements of a
+    large loan meet in one task nor its row goes along with each of their days.
+    """
+    cut = cuts(bill, ["PaymentNumber"])
     statements = due_statements(bill, as_of).select("LoanID", "PaymentNumber", "PaymentDate")
-    days = (
-        bill_days(statements).join(loan_measures(pay, bill, as_of), "LoanID").join(position, "LoanID")
+    loans = loan_measures(pay, bill, as_of).join(position, "LoanID")
+    blocks = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
+    divided = with_cuts(loans, cut).select(*loans.columns, F.explode(blocks).alias("_block"))
+    return (
+        in_blocks(statements, cut, "PaymentNumber")
+        .join(divided, ["LoanID", "_block"])
+        .drop("_block")
     )
-    return statements.join(days, ["LoanID", "PaymentDate"])

@@ -1,6 +1,7 @@
 """The point-in-time ledger against its definition by range joins."""
 
 import random
+import re
 from contextvars import ContextVar
 from datetime import date, timedelta
 
@@ -148,3 +149,22 @@ def test_statement_of_the_day_is_due(table):
     assert as_set(snapshot.statement_spine(bill, table("pay", []), AS_OF)) == [
         ("A", None, 1, "2020-09-01")
     ]
+
+
+def test_a_loan_s_row_does_not_go_along_with_each_day_of_its_statements(spark, table):
+    """Nor are payments after the day shuffled, or the days of statements joined a second time."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    pay_rows, bill_rows = random_inputs(1)
+    pay, bill = table("pay", pay_rows), table("bill", bill_rows)
+    position = table("loan", [{"LoanID": i} for i in "ABC"]).select("LoanID", "LoanOfficer")
+    rows = snapshot.statement_loan_measures(pay, bill, position, AS_OF)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    due = sum(date.fromisoformat(str(row["PaymentDate"])) <= AS_OF for row in bill_rows if row["LoanID"] != "unpaid")
+    found = rows.count()
+    spark.conf.set(key, before)
+    assert not re.search(r"SortMergeJoin \[LoanID#\d+, PaymentDate#\d+", plan)
+    assert re.search(r"SortMergeJoin \[LoanID#\d+, _block#\d+", plan)
+    assert found == due
+    assert snapshot.paid_by(pay, AS_OF).filter(f"PaymentDate > date'{AS_OF}'").isEmpty()

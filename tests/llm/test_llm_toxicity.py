@@ -1,9 +1,13 @@
 """Toxicity: exact neighbours, votes, held-out accuracy, and inputs that could break it."""
 
+import pickle
 import random
+import re
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from tallyline.llm import toxicity
 
@@ -131,3 +135,25 @@ def test_empty_table(spark, documents):
     rows = corpus(100)
     scorer = toxicity.fit(documents([r[:2] for r in rows]), labelled(spark, rows))
     assert toxicity.scored(documents([]), scorer).count() == 0
+
+
+@given(st.one_of(st.text(), st.text(alphabet=[chr(i) for i in range(128)]), st.none()))
+def test_words_are_those_of_the_expression(text):
+    assert toxicity.words_of(text) == re.findall(r"\w+", (text or "").lower())
+
+
+def test_a_vocabulary_keeps_nothing_of_the_texts_it_has_seen():
+    known = [("foolish", 2.0, 1.0), ("foolis*", 0.0, 3.0), ("plain", 1.0, 0.0)]
+    vocabulary = toxicity.Vocabulary(known, 4.0)
+    before = len(pickle.dumps(vocabulary))
+    for i in range(2_000):
+        vocabulary.vector(f"plain word{i}")
+    assert len(pickle.dumps(vocabulary)) == before
+    # A word that no example has counts by its beginning.
+    rows, weights = vocabulary.vector("foolishly plain foolish foolishly")
+    assert rows.tolist() == [2, 0, 1, 3]
+    often = np.array([1, 1, 1 + np.log(3)])
+    others = 16 * (1 + np.log(2)) ** 2
+    scale = (1 + np.log(4)) / np.sqrt(1 + 4 + others)
+    plain = [*(scale * often * [1, 2, 0] + often * [0, 1, 3]), toxicity.POOLED * (1 + np.log(4))]
+    assert np.allclose(weights, plain / np.sqrt(np.square(plain).sum() + scale * scale * others))

@@ -34,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tallyline.llm.common import as_bytes, ship, stored
+from tallyline.llm.common import as_bytes, ship, stored, thrifty
 
 WINDOW = 13
 # Windows that are counted and settled together.
 CHUNK = 1 << 21
+# Windows that are looked up together.
+LOOKED_UP = 1 << 17
 # Cells of a row of the sketch, at most: two rows of so many bits are broadcast.
 MOST_CELLS = 1 << 28
 # Cells of a row of the sketch of ids, at most.
@@ -96,18 +98,26 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _count(chunk: list[np.ndarray], bits: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    hashes = np.concatenate(chunk)
-    for line in range(2):
-        cells = np.sort(_cells(hashes, line, bits))
-        new = np.flatnonzero(np.diff(cells.astype(np.int64), prepend=-1))
-        counts = np.diff(new, append=len(cells))
-        cells = cells[new]
-        cuts = np.searchsorted(cells, np.arange(0, (1 << bits) + CELL_BLOCK, CELL_BLOCK))
+def _count(
+    lines: tuple[list[np.ndarray], list[np.ndarray]], bits: int
+) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """The cells of each line that were seen, by block; the lists of cells are emptied."""
+    for line, chunk in enumerate(lines):
+        cells = np.concatenate(chunk)
+        chunk.clear()
+        cells.sort()
+        # Equal to the one before; a cell is seen again where the first of its run is followed by such.
+        same = np.zeros(len(cells) + 1, dtype=bool)
+        np.equal(cells[1:], cells[:-1], out=same[1:-1])
+        first = ~same[:-1]
+        again, cells = same[1:][first], cells[first]
+        del same, first
+        edges = np.arange(0, (1 << bits) + CELL_BLOCK, CELL_BLOCK)
+        cuts = np.searchsorted(cells, edges)
         for block, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if a < b:
                 own = cells[a:b] - block * CELL_BLOCK
-                yield line, block, pack_places(own), pack_places(own[counts[a:b] > 1])
+                yield line, block, pack_places(own), pack_places(own[again[a:b]])
 
 
 def merged(cells: DataFrame, bits: int, least: int) -> Sketch:
@@ -138,7 +148,7 @@ def merged(cells: DataFrame, bits: int, least: int) -> Sketch:
     rows = (
         cells.repartition("line", "block")
         .sortWithinPartitions("line", "block")
-        .mapInArrow(merge, _BITS)
+        .mapInArrow(thrifty(merge), _BITS)
         .collect()
     )
     return Sketch(bits, {(row.line, row.block): bytes(row.bits) for row in rows})
@@ -150,20 +160,26 @@ def _bits(wanted: int, most: int) -> int:
 
 
 class Sketch:
-    """The merged sketch, as compressed blocks until a worker looks a window up."""
+    """The merged sketch, as compressed blocks until a worker looks a window up.
 
-    def __init__(self, bits: int, blocks: dict[tuple[int, int], bytes]):
-        self._bits, self._blocks, self._lines = bits, blocks, None
+    A worker's copy gives up its blocks for that, so that it holds the sketch once.
+    """
+
+    def __init__(self, bits: int, blocks: dict[tuple[int, int], bytes], copy: bool = False):
+        self._bits, self._blocks, self._lines, self._copy = bits, blocks, None, copy
 
     def __reduce__(self):
-        return Sketch, (self._bits, self._blocks)
+        if self._copy and self._lines is not None:
+            raise ValueError("a worker's sketch cannot be sent on")
+        return Sketch, (self._bits, self._blocks, True)
 
     def likely(self, hashes: np.ndarray) -> np.ndarray:
         """Whether the cells of each window in both lines were seen twice or more."""
         if self._lines is None:
             self._lines = [np.zeros((1 << self._bits) // 8, dtype=np.uint8) for _ in range(2)]
             step = CELL_BLOCK // 8
-            for (line, block), packed in self._blocks.items():
+            for line, block in list(self._blocks):
+                packed = self._blocks.pop((line, block)) if self._copy else self._blocks[line, block]
                 own = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
                 self._lines[line][block * step : (block + 1) * step] = own
         found = np.ones(len(hashes), dtype=bool)
@@ -177,22 +193,23 @@ def repeated_cells(texts: DataFrame, bits: int, size: int, chunk: int = CHUNK) -
     """The two rows of the merged sketch: a bit for each cell that was seen twice or more."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: tuple[list[np.ndarray], list[np.ndarray]] = [], []
 
         n = 0
         for batch in batches:
             for text in as_bytes(batch.column(0)):
                 if text:
-                    held.append(window_hashes(text, size))
-                    n += len(held[-1])
+                    hashes = window_hashes(text, size)
+                    for line, cells in enumerate(held):
+                        cells.append(_cells(hashes, line, bits))
+                    n += len(hashes)
                     if n >= chunk:
                         yield _batch(_CELLS, list(_count(held, bits)))
-                        held.clear()
                         n = 0
         if n:
             yield _batch(_CELLS, list(_count(held, bits)))
 
-    return merged(texts.select("text").mapInArrow(sketched, _CELLS), bits, 2)
+    return merged(texts.select("text").mapInArrow(thrifty(sketched), _CELLS), bits, 2)
 
 
 def known_cells(keys: DataFrame, bits: int) -> Sketch:
@@ -201,9 +218,11 @@ def known_cells(keys: DataFrame, bits: int) -> Sketch:
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _batch(_CELLS, list(_count([_pairs(*batch.columns)], bits)))
+                pairs = _pairs(*batch.columns)
+                cells = [_cells(pairs, 0, bits)], [_cells(pairs, 1, bits)]
+                yield _batch(_CELLS, list(_count(cells, bits)))
 
-    return merged(keys.mapInArrow(sketched, _CELLS), bits, 1)
+    return merged(keys.mapInArrow(thrifty(sketched), _CELLS), bits, 1)
 
 
 def _pairs(*numbers: pa.Array) -> np.ndarray:
@@ -212,38 +231,51 @@ def _pairs(*numbers: pa.Array) -> np.ndarray:
 
 
 class _Chunk:
-    """Documents whose windows are settled together."""
+    """Documents whose windows are settled together, of which those the sketch lets through are held."""
 
-    def __init__(self) -> None:
+    def __init__(self, sketch: Sketch) -> None:
         self.n = 0
+        self._sketch = sketch
         self.ids: list[int] = []
         self.texts: list[int] = []
-        self.hashes: list[np.ndarray] = []
+        self._waiting, self._new = 0, []
+        self._held: list[tuple[np.ndarray, ...]] = []
 
     def add(self, doc_id: int, text: bytes, hashes: np.ndarray) -> None:
         self.n += len(hashes)
         self.ids.append(doc_id)
         self.texts.append(xxhash.xxh64_intdigest(text, _SEED))
-        self.hashes.append(hashes)
-
-    def found(self, sketch: Sketch, blocks: int) -> Iterator[tuple]:
-        """Rows for the second pass: by block what others may hold too, and what is settled here."""
-        lengths = [len(h) for h in self.hashes]
-        hashes = np.concatenate(self.hashes)
-        self.hashes = []
-        at = np.flatnonzero(sketch.likely(hashes))
-        if not len(at):
-            return
+        self._new.append(hashes)
+        self._waiting += len(hashes)
+        if self._waiting >= LOOKED_UP:
+            self._look_up()
+
+    def _look_up(self) -> None:
+        lengths = [len(h) for h in self._new]
+        hashes = np.concatenate(self._new)
+        at = np.flatnonzero(self._sketch.likely(hashes))
         firsts = np.cumsum([0, *lengths[:-1]])
         doc = np.searchsorted(firsts, at, side="right") - 1
         # Empty documents share a first place; the last of them owns it.
         start = (at - firsts[doc]).astype(np.uint32)
-        high, low = hashes[at, 0], hashes[at, 1].astype(np.uint32)
-        del hashes, at
+        doc = (doc + len(self.ids) - len(lengths)).astype(np.uint32)
+        self._held.append((doc, start, hashes[at, 0], hashes[at, 1].astype(np.uint32)))
+        self._waiting, self._new = 0, []
+
+    def found(self, blocks: int) -> Iterator[tuple]:
+        """Rows for the second pass: by block what others may hold too, and what is settled here."""
+        if self._new:
+            self._look_up()
+        doc, start, high, low = (np.concatenate(c) for c in zip(*self._held, strict=True))
+        self._held = []
+        if not len(doc):
+            return
         order_of = np.unique(np.array(self.ids, dtype=np.int64), return_inverse=True)[1]
-        rank = order_of[doc]
+        rank = order_of.astype(np.uint32)[doc]
         order = np.lexsort((rank, low, high))
-        doc, start, high, low, rank = doc[order], start[order], high[order], low[order], rank[order]
+        doc, start, rank = doc[order], start[order], rank[order]
+        high, low = high[order], low[order]
+        del order
         new = np.ones(len(high), dtype=bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
         later = rank > rank[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -302,14 +334,20 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows to remove; rows come by block, and a block is settled at a time."""
 
     def settle(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch | None:
-        columns = [(r[0][r[2]], r[1][r[2]], r[3].astype(np.uint32), r[4], r[5]) for r in rows]
-        ids, texts, start, high, low = (np.concatenate(c) for c in zip(*columns, strict=True))
+        ids = np.concatenate([r[0][r[2]] for r in rows])
+        high, low = (np.concatenate([r[i] for r in rows]) for i in (4, 5))
         order = np.lexsort((ids, low, high))
-        high, low, sorted_ids = high[order], low[order], ids[order]
+        high, low, ids = high[order], low[order], ids[order]
         new = np.ones(len(high), dtype=bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-        later = order[sorted_ids > sorted_ids[np.flatnonzero(new)][np.cumsum(new) - 1]]
-        return _removed(ids[later], texts[later], start[later])
+        del high, low
+        later = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+        ids, later = ids[later], order[later]
+        del order
+        # Text and place only of the windows that go.
+        texts = np.concatenate([r[1][r[2]] for r in rows])[later]
+        start = np.concatenate([r[3].astype(np.uint32) for r in rows])[later]
+        return _removed(ids, texts, start)
 
     block, held = None, []
     for batch in batches:
@@ -344,10 +382,10 @@ def removed_windows(
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: _Chunk) -> Iterator[pa.RecordBatch]:
-            if rows := list(held.found(sketch.value, blocks)):
+            if rows := list(held.found(blocks)):
                 yield _batch(_FOUND, rows)
 
-        held = _Chunk()
+        held = _Chunk(sketch.value)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
                 if doc_id is not None and text:
@@ -356,16 +394,16 @@ def removed_windows(
                         held.add(doc_id, text, hashes)
                 if held.n >= chunk:
                     yield from flush(held)
-                    held = _Chunk()
+                    held = _Chunk(sketch.value)
         if held.n:
             yield from flush(held)
 
     return (
         docs.select("doc_id", "text")
-        .mapInArrow(likely, _FOUND)
+        .mapInArrow(thrifty(likely), _FOUND)
         .repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(_settled, _REMOVED)
+        .mapInArrow(thrifty(_settled), _REMOVED)
     )
 
 
@@ -457,13 +495,13 @@ def without_repeats(
             yield told(batch.select(range(n)), batch.column(n), marks)
 
     text_kept = rows.drop("_a", "_b")
-    joined = rows.mapInArrow(losing, text_kept.schema).join(
+    joined = rows.mapInArrow(thrifty(losing), text_kept.schema).join(
         starts.select(F.col("doc_id").alias("_id"), "text_hash", F.col("starts").alias("_starts")),
         (F.col(doc_id).cast("long") == F.col("_id")) & (F.xxhash64("_text") == F.col("text_hash")),
         "left",
     )
-    shared = joined.select(*columns, "_text", "_starts").mapInArrow(cut, schema)
-    out = rows.mapInArrow(whole, schema).unionByName(shared)
+    shared = joined.select(*columns, "_text", "_starts").mapInArrow(thrifty(cut), schema)
+    out = rows.mapInArrow(thrifty(whole), schema).unionByName(shared)
     if digest:
         return out.drop("_text")
     ordered = [c for c in docs.columns if c in columns or c == text]

@@ -1,8 +1,10 @@
 """Substring dedup against a dictionary of windows."""
 
 import hashlib
+import pickle
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -116,3 +118,43 @@ def test_no_text_has_a_window(documents):
 def test_places_round_trip(places):
     array = np.array(sorted(places), dtype=np.int64)
     assert substring.unpack_places(substring.pack_places(array)).tolist() == array.tolist()
+
+
+def hashes_of(windows):
+    return np.random.default_rng(5).integers(0, 1 << 64, (windows, 2), dtype=np.uint64)
+
+
+def test_a_chunk_holds_the_windows_that_pass_the_sketch_alone():
+    hashes = hashes_of(1 << 20)
+    cells = [[substring._cells(h, line, 22) for h in (hashes[:50], hashes[:50])] for line in (0, 1)]
+    rows = list(substring._count(cells, 22))
+    assert cells == [[], []]
+    blocks = {}
+    for line, block, _, again in rows:
+        seen = np.zeros(substring.CELL_BLOCK, dtype=np.uint8)
+        seen[substring.unpack_places(again)] = 1
+        blocks[line, block] = substring.zlib.compress(np.packbits(seen, bitorder="little").tobytes())
+    sketch = substring.Sketch(22, blocks)
+    sketch.likely(hashes[:1])
+    chunk = substring._Chunk(sketch)
+    tracemalloc.start()
+    for i in range(0, len(hashes), 512):
+        chunk.add(i, b"text %d" % i, hashes[i : i + 512])
+    found = list(chunk.found(1))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [len(r[-1]) // 4 for r in found] == [50]
+    # All windows together would be 16 bytes each, and more to settle them.
+    assert most < 8 * len(hashes)
+
+
+def test_a_worker_holds_the_sketch_once(documents):
+    rows = [(1, "a b c d e f"), (2, "b c d e f g")]
+    sketch = substring.repeated_cells(documents(rows), 22, 5)
+    copy = pickle.loads(pickle.dumps(sketch))
+    hashes = substring.window_hashes(b"a b c d e f g", 5)
+    assert copy.likely(hashes).tolist() == sketch.likely(hashes).tolist() == [False, True, False]
+    assert sketch._blocks and not copy._blocks
+    with pytest.raises(ValueError):
+        pickle.dumps(copy)
+    assert pickle.loads(pickle.dumps(sketch)).likely(hashes).any()

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from tallyline.llm.common import ship, stored
+from tallyline.llm.common import ship, stored, thrifty
 
 # Cells among which the pieces of one length are ranked.
 SALTS = 256
@@ -172,7 +172,7 @@ def tokenised(
             names=[*batch.schema.names[:-1], "piece", "start", "length", "ids"],
         )
 
-    return docs.select(*kept.columns, F.col(text).alias("_text")).mapInArrow(cut, schema)
+    return docs.select(*kept.columns, F.col(text).alias("_text")).mapInArrow(thrifty(cut), schema)
 
 
 @dataclass(frozen=True)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import as_bytes, ship, stored
+from tallyline.llm.common import as_bytes, ship, stored, thrifty
 from tallyline.llm.components import components
 
 SHINGLE = 3
@@ -77,7 +77,7 @@ def fingerprints(
             )
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(of, "doc_id long, fp long")
+    return given.mapInArrow(thrifty(of), "doc_id long, fp long")
 
 
 def fingerprint_of(text: str, size: int = SHINGLE) -> Column:
@@ -87,7 +87,8 @@ def fingerprint_of(text: str, size: int = SHINGLE) -> Column:
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t and t.encode(), size) for t in batch], dtype="int64")
 
-    return of(F.col(text))
+    # Or a filter on the fingerprint would move below and take it once more, by a second worker a task.
+    return of.asNondeterministic()(F.col(text))
 
 
 def _bit(i: Column) -> Column:

@@ -127,3 +127,10 @@ def test_an_id_keeps_the_text_that_no_other_has(spark, documents):
 def test_stages_over_empty_tables(spark, tmp_path):
     path = odd_folder(spark, str(tmp_path), [])
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_near_dedup_takes_the_fingerprint_of_a_text_once(spark, documents, capsys):
+    docs = documents([(1, "a b c"), (1, "d e f"), (2, "a b c")])
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    found.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
